@@ -1,0 +1,48 @@
+"""Join helpers: broadcast a side only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _threshold(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes (-1 disables broadcasting)."""
+    try:
+        return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001 - no JVM session state (e.g. a remote client)
+        return DEFAULT_BROADCAST_BYTES
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (file sizes through projections and filters)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return None
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast when its estimated size is within ``max_bytes``.
+
+    Beyond the bound nothing is hinted: the join stays a shuffle (sort-merge) join, and AQE may
+    still switch to broadcast from the real shuffle sizes at run time.
+    """
+    limit = _threshold(df) if max_bytes is None else max_bytes
+    size = estimated_bytes(df)
+    if limit > 0 and size is not None and size <= limit:
+        return F.broadcast(df)
+    return df
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
+
+    The proof is a bounded action (``limit(max_rows + 1).count()``), which stops reading once
+    the bound is exceeded; beyond it the side is left to a shuffle join.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
