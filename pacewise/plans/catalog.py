@@ -53,4 +53,27 @@ PURE: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(PURE)
+    return {**PURE, **_side_effect_queries()}
+
+
+def _side_effect_queries() -> dict[str, Query]:
+    from pacewise.plans import jobs
+
+    return {
+        "user_filtered_scan": jobs.user_filtered_scan,
+        "date_range_scan": jobs.date_range_scan,
+        "campaign_rollup": jobs.campaign_rollup,
+        "forget_user_bronze": jobs.forgotten_table("bronze"),
+        "forget_user_silver": jobs.forgotten_table("silver"),
+        "forget_user_delivery": jobs.forgotten_table("delivery"),
+        "forget_user_fill": jobs.forgotten_table("fill"),
+        "forget_user_pacing": jobs.forgotten_table("pacing"),
+        "tombstone_read": jobs.tombstone_read,
+        "stream_bronze": jobs.streamed_bronze,
+        "stream_fact_event": jobs.streamed_silver,
+        "compacted_silver": jobs.compacted_silver,
+        # rows-only: results depend on the physical file layout
+        "layout_report": jobs.layout_report,
+        "scan_volume": jobs.scan_volume,
+        "delete_cost": jobs.delete_cost,
+    }

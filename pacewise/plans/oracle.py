@@ -209,5 +209,50 @@ FROM dedup GROUP BY CAST(event_ts AS DATE)""", _BRONZE, _DEDUP),
 }
 
 
+# --- side-effect jobs -----------------------------------------------------------------------------
+_AMP = """
+amp AS (
+  SELECT s.event_id || '-' || CAST(r.rep AS VARCHAR) AS event_id, s.event_type, s.event_ts,
+         s.campaign_id, s.creative_id, s.request_id, s.user_id, s.device, s.geo, s.placement
+  FROM silver s CROSS JOIN (SELECT unnest(range(0, 10)) AS rep) r
+)"""
+
+# The erased user: most silver events, ties by user_id; bronze without that user feeds the rest.
+_BRONZE_ALL = _BRONZE.replace("bronze AS (", "bronze_all AS (", 1)
+_DEDUP_ALL = _DEDUP.replace("dedup AS (", "dedup_all AS (", 1).replace("FROM bronze WHERE", "FROM bronze_all WHERE")
+_FORGET = """
+forgotten AS (
+  SELECT user_id FROM dedup_all GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1
+),
+bronze AS (
+  SELECT * FROM bronze_all WHERE user_id IS DISTINCT FROM (SELECT user_id FROM forgotten)
+)"""
+FORGET = (_BRONZE_ALL, _DEDUP_ALL, _FORGET, _DEDUP, _SILVER)
+
+ORACLE.update({
+    "user_filtered_scan": _q("""SELECT user_id, count(*) AS events FROM amp
+WHERE user_id = (SELECT user_id FROM amp GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
+GROUP BY user_id""", *BASE, _AMP),
+    "date_range_scan": _q("""SELECT (SELECT min(CAST(event_ts AS DATE)) FROM amp) AS first_day,
+  (SELECT count(*) FROM amp
+   WHERE event_ts >= CAST((SELECT min(CAST(event_ts AS DATE)) FROM amp) AS TIMESTAMP)
+     AND event_ts < CAST((SELECT min(CAST(event_ts AS DATE)) FROM amp) AS TIMESTAMP) + INTERVAL 2 DAY) AS events""",
+                          *BASE, _AMP),
+    "campaign_rollup": _q("""SELECT campaign_id, count(*) AS impressions FROM amp
+WHERE event_type = 'impression' GROUP BY campaign_id""", *BASE, _AMP),
+    "forget_user_bronze": _q("SELECT * FROM bronze", *FORGET),
+    "forget_user_silver": _q("SELECT * FROM silver", *FORGET),
+    "forget_user_delivery": _q("SELECT * FROM delivery", *FORGET, _DELIVERY),
+    "forget_user_fill": _q("SELECT * FROM fill", *FORGET, _FILL),
+    "forget_user_pacing": _q("""SELECT campaign_id, pacing_date, delivered_impressions, cumulative_delivered,
+       budget, expected_pace, pace_index, pace_label FROM pacing""", *FORGET, _DIM, _PACING),
+    "tombstone_read": _q("""SELECT * FROM silver WHERE user_id IS DISTINCT FROM
+  (SELECT user_id FROM silver GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)""", *BASE),
+    "stream_bronze": _q("SELECT * EXCLUDE (ingest_ts) FROM bronze", _BRONZE),
+    "stream_fact_event": _q("SELECT * FROM silver", *BASE),
+    "compacted_silver": _q("SELECT * FROM silver", *BASE),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -29,6 +29,9 @@ LOCAL_CONF = {
     "spark.default.parallelism": "8",
     "spark.driver.memory": "16g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Tiny test data: keep up to 8 reducers so writes of many small partition files run on all
+    # cores instead of being coalesced into one or two tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
 }
 
 # ~100 TB on ~1000 executors: 256 MB input splits, 256 MB advisory shuffle partitions,
