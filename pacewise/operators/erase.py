@@ -11,7 +11,7 @@ no rows to. Every erase ends with a verification that the users have no rows lef
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +49,10 @@ class EraseCost:
     rows_rewritten: int = 0
     bytes_rewritten: int = 0
     rows_deleted: int = 0
+    touched: list = field(default_factory=list, repr=False)  # partition values rewritten
+
+    def report(self) -> dict:
+        return {k: v for k, v in asdict(self).items() if k != "touched"}
 
 
 def validated_users(users: DataFrame) -> DataFrame:
@@ -122,41 +126,42 @@ def erase(spark: SparkSession, table: Table, users: DataFrame,
         return cost
     in_scope = partition_predicate(parts, touched) if parts else F.lit(True)
 
-    # Per-file cost and per-partition emptiness in one pass over the touched partitions.
+    # Cost and emptiness per partition in one pass over the touched partitions; only one row
+    # per touched partition reaches the driver.
     scoped = (table.read(spark, layout=True).where(in_scope)
               .withColumn("_file", F.col("_metadata.file_path"))
               .withColumn("_size", F.col("_metadata.file_size")))
-    per_file = (_flag_users(scoped, table, users, ids)
+    per_part = (_flag_users(scoped, table, users, ids)
                 .groupBy(*parts, "_file", "_size")
                 .agg(F.count(F.lit(1)).alias("rows"),
                      F.sum(F.col("_erase").cast("int")).cast("bigint").alias("erased"))
+                .groupBy(*parts)
+                .agg(F.count(F.lit(1)).alias("files"), F.sum("_size").alias("bytes"),
+                     F.sum("rows").alias("rows"), F.sum("erased").alias("erased"),
+                     F.min("_file").alias("sample_file"))
                 .collect())
-    by_part: dict[tuple, list] = {}
-    for r in per_file:
-        by_part.setdefault(tuple(r[c] for c in parts), []).append(r)
-    emptied = [files for files in by_part.values()
-               if sum(f["rows"] for f in files) == sum(f["erased"] for f in files)]
-    cost.partitions_touched = len(by_part)
+    emptied = [r for r in per_part if r["rows"] == r["erased"]]
+    cost.touched = [tuple(r[c] for c in parts) for r in per_part]
+    cost.partitions_touched = len(per_part)
     cost.partitions_emptied = len(emptied)
-    cost.files_rewritten = len(per_file)
-    cost.rows_rewritten = sum(r["rows"] for r in per_file)
-    cost.bytes_rewritten = sum(r["_size"] for r in per_file)
-    cost.rows_deleted = sum(r["erased"] for r in per_file)
+    cost.files_rewritten = sum(r["files"] for r in per_part)
+    cost.rows_rewritten = sum(r["rows"] for r in per_part)
+    cost.bytes_rewritten = sum(r["bytes"] for r in per_part)
+    cost.rows_deleted = sum(r["erased"] for r in per_part)
 
     survivors = (_flag_users(table.read(spark, layout=True).where(in_scope), table, users, ids)
                  .where(~F.col("_erase")).drop("_erase"))
     if parts:
-        if len(emptied) < len(by_part):
+        if len(emptied) < len(per_part):
             table.write(survivors, mode="overwrite", dynamic=True)
-        for files in emptied:
-            for rel in {fs.relative_to(spark, table.path, f["_file"]) for f in files}:
-                if not rel:
-                    raise AssertionError(f"{table.path}: data file outside any partition folder")
-                fs.delete(spark, f"{table.path}/{rel}")
+        for r in emptied:
+            rel = fs.relative_to(spark, table.path, r["sample_file"])
+            if not rel:
+                raise AssertionError(f"{table.path}: data file outside any partition folder")
+            fs.delete(spark, f"{table.path}/{rel}")
     else:
         staged = table.at(f"{table.path.rstrip('/')}__erase_stage")
-        table_df = survivors
-        staged.write(table_df, mode="overwrite")
+        staged.write(survivors, mode="overwrite")
         fs.delete(spark, table.path)
         fs.rename(spark, staged.path, table.path)
     spark.catalog.refreshByPath(table.path)
@@ -184,6 +189,38 @@ def rebuild_aggregates(spark: SparkSession, lake: Lake, names=AGGREGATE_TABLES)
     return out
 
 
+def refresh_fill_days(spark: SparkSession, lake: Lake, days: list) -> int:
+    """Recompute fill only for the silver days the erasure touched (K8, incremental).
+
+    Fill is partitioned by the day of its hour, which is the day of the events it counts, so
+    the touched silver days map one-to-one onto fill partitions; they are replaced with
+    dynamic overwrite, and a day left without rows is deleted.
+    """
+    if not days:
+        return 0
+    table = lake["fill"]
+    scope = partition_predicate(["event_date"], [(d,) for d in days])
+    fresh = gold.inventory_fill(lake.read("silver", layout=True).where(scope))
+    present = {r[0] for r in fresh.select(F.col("event_hour").cast("date")).distinct().collect()}
+    if present:
+        table.write(fresh, mode="overwrite", dynamic=True)
+    for d in days:
+        if d not in present:
+            name = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
+            fs.delete(spark, f"{table.path}/event_date={name}")
+    spark.catalog.refreshByPath(table.path)
+    return len(days)
+
+
+def rebuild_pacing(spark: SparkSession, lake: Lake) -> int:
+    """Pacing from the refreshed fill table (small: campaign x placement x hour)."""
+    lake.write("pacing", gold.campaign_pacing_from_fill(lake.read("fill"), lake.read("dim_campaign")))
+    n = lake.count("pacing")
+    if n <= 0:
+        raise AssertionError("[pacing] no rows written after erasure")
+    return n
+
+
 def record_erasure(spark: SparkSession, lake: Lake, users: DataFrame, tables: list[str]) -> None:
     """Append one audit row per user (A12); the log is never an erase target."""
     rows = users.select("user_id", F.lit(",".join(tables)).alias("tables"),
@@ -195,7 +232,7 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     """Erase ``users`` from every layer (L12: K1, K8, K9, K10, A12, H20).
 
     Order: bronze, silver, delivery (bronze first, or a silver rebuild would resurrect the
-    users), then fill and pacing are rebuilt from the cleaned silver. Every table is attempted
+    users), then fill is recomputed for the silver days touched and pacing from fill. Every table is attempted
     even after a failure; the audit row lists only the tables fully erased and verified, and
     the job raises at the end if any table failed.
     """
@@ -204,19 +241,24 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     done: list[str] = []
     failed: dict[str, str] = {}
     costs: dict[str, dict] = {}
+    touched_days: list = []
     for name in PII_TABLES:
         try:
-            costs[name] = asdict(erase(spark, lake[name], users, ids))
+            cost = erase(spark, lake[name], users, ids)
+            costs[name] = cost.report()
+            if name == "silver":
+                touched_days = sorted({t[0] for t in cost.touched}, key=str)
             done.append(name)
         except Exception as exc:  # noqa: BLE001 - record and continue
             failed[name] = repr(exc)
     if "silver" in done:
-        for name in AGGREGATE_TABLES:
-            try:
-                rebuild_aggregates(spark, lake, (name,))
-                done.append(name)
-            except Exception as exc:  # noqa: BLE001
-                failed[name] = repr(exc)
+        try:
+            refresh_fill_days(spark, lake, touched_days)
+            done.append("fill")
+            rebuild_pacing(spark, lake)
+            done.append("pacing")
+        except Exception as exc:  # noqa: BLE001
+            failed.update({n: repr(exc) for n in AGGREGATE_TABLES if n not in done})
     else:
         failed.update({n: "silver not erased; aggregates not rebuilt" for n in AGGREGATE_TABLES})
     record_erasure(spark, lake, users, done)

@@ -10,6 +10,7 @@ of the swap could see neither version.
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
@@ -50,6 +51,40 @@ def partition_predicate(cols: list[str], values: list[tuple]) -> Column:
     return reduce(lambda a, b: a | b, terms)
 
 
+# --- crash-safe folder swap ------------------------------------------------------------------------
+def _swap(spark: SparkSession, table_path: str, moves: list[tuple[str, str]], drops: list[str]) -> None:
+    """Replace folders: each ``(staged, target)`` move replaces ``target``; ``drops`` are removed.
+
+    A manifest (``_swap_<id>.json``, ignored by readers) is written first, so a driver lost in
+    the middle is finished by ``recover`` on the next run (roll forward: the staged data was
+    already verified).
+    """
+    manifest = f"{table_path.rstrip('/')}/_swap_{uuid.uuid4().hex[:10]}.json"
+    fs.write_text(spark, manifest, json.dumps({"moves": moves, "drops": drops}))
+    _apply(spark, moves, drops)
+    fs.delete(spark, manifest, recursive=False)
+
+
+def _apply(spark: SparkSession, moves: list, drops: list) -> None:
+    for d in drops:
+        fs.delete(spark, d)
+    for staged, target in moves:
+        if fs.exists(spark, staged):
+            fs.delete(spark, target)
+            fs.rename(spark, staged, target)
+
+
+def recover(spark: SparkSession, table_path: str) -> int:
+    """Finish any swap a lost driver left half done."""
+    names = fs.list_names(spark, table_path, "_swap_")
+    for name in names:
+        path = f"{table_path.rstrip('/')}/{name}"
+        plan = json.loads(fs.read_text(spark, path))
+        _apply(spark, [tuple(m) for m in plan["moves"]], plan["drops"])
+        fs.delete(spark, path, recursive=False)
+    return len(names)
+
+
 def compact(spark: SparkSession, table: Table, min_input_files: int = MIN_INPUT_FILES,
             sort: bool = False, skip_latest: str | None = None) -> dict[str, int]:
     """Rewrite every partition of ``table`` holding ``>= min_input_files`` files.
@@ -58,6 +93,7 @@ def compact(spark: SparkSession, table: Table, min_input_files: int = MIN_INPUT_
     ``skip_latest`` names a column whose newest value is left alone (the stream's last batch,
     which a restart may replay).
     """
+    recover(spark, table.path)
     if not table.exists(spark):
         return {"partitions": 0, "files_before": 0, "files_after": 0}
     parts = list(table.partition_by)
@@ -85,22 +121,54 @@ def compact(spark: SparkSession, table: Table, min_input_files: int = MIN_INPUT_
     files_after = file_stats(spark, stage).count()
 
     if parts:
-        for rel in old_dirs:
-            fs.delete(spark, f"{table.path}/{rel}")
-            fs.rename(spark, f"{stage.path}/{rel}", f"{table.path}/{rel}")
-        fs.delete(spark, stage.path)
+        _swap(spark, table.path, [(f"{stage.path}/{rel}", f"{table.path}/{rel}") for rel in old_dirs], [])
     else:
-        old = f"{table.path.rstrip('/')}__old_{uuid.uuid4().hex[:10]}"
-        fs.rename(spark, table.path, old)
-        fs.rename(spark, stage.path, table.path)
-        fs.delete(spark, old)
+        old_files = [f"{table.path.rstrip('/')}/{n}" for n in fs.list_names(spark, table.path)
+                     if not n.startswith(("_", "."))]
+        moved = [(f"{stage.path}/{n}", f"{table.path.rstrip('/')}/{n}")
+                 for n in fs.list_names(spark, stage.path) if not n.startswith(("_", "."))]
+        _swap(spark, table.path, moved, old_files)
+    fs.delete(spark, stage.path)
     spark.catalog.refreshByPath(table.path)
     return {"partitions": len(targets), "files_before": files_before, "files_after": files_after}
 
 
+def merge_batches(spark: SparkSession, bronze: Table, tag: str) -> dict[str, int]:
+    """Fold the committed micro-batch folders of one stream tag into one folder (bronze K6).
+
+    Every batch but the newest (the only one a restart can replay) is rewritten into a single
+    folder named after the highest batch it holds; later batches always get larger ids, so no
+    future write lands in it. Verified by count and content hash before the swap.
+    """
+    from pacewise.streaming.bronze import batch_table  # local: streaming imports tables
+
+    recover(spark, bronze.path)
+    tag_dir = f"{bronze.path.rstrip('/')}/stream_tag={tag}"
+    batches = sorted(int(n.split("=", 1)[1]) for n in fs.list_names(spark, tag_dir, "batch_id="))
+    olds = batches[:-1]
+    if len(olds) < 2:
+        return {"merged_batches": 0}
+    target = olds[-1]
+    selected = (bronze.read(spark, layout=True)
+                .where((F.col("stream_tag") == tag) & F.col("batch_id").isin(olds))
+                .drop("stream_tag", "batch_id"))
+    stage_root = f"{bronze.path.rstrip('/')}__merge_{uuid.uuid4().hex[:10]}"
+    staged = batch_table(bronze.at(stage_root), tag, target)
+    staged.write(selected, mode="overwrite")
+    if fingerprint(selected) != fingerprint(staged.read(spark, layout=True)):
+        raise AssertionError(f"batch merge of {tag_dir} changed the data; staging kept at {stage_root}")
+    _swap(spark, bronze.path, [(staged.path, f"{tag_dir}/batch_id={target}")],
+          [f"{tag_dir}/batch_id={b}" for b in olds[:-1]])
+    fs.delete(spark, stage_root)
+    spark.catalog.refreshByPath(bronze.path)
+    return {"merged_batches": len(olds), "into_batch": target}
+
+
 def compact_all(spark: SparkSession, lake: Lake, min_input_files: int = MIN_INPUT_FILES) -> dict:
     """Maintenance over every lake table (K6); bronze keeps its newest batch untouched."""
     report = {}
+    for tag in [n.split("=", 1)[1] for n in fs.list_names(spark, lake["bronze"].path, "stream_tag=")]:
+        report[f"bronze[{tag}] batches"] = merge_batches(spark, lake["bronze"], tag)
     for name, table in lake.tables.items():
         skip = "batch_id" if name == "bronze" else None
         report[name] = compact(spark, table, min_input_files, sort=bool(table.cluster_by), skip_latest=skip)

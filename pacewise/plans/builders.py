@@ -68,7 +68,8 @@ def build_fill(ctx: BuildContext) -> int:
 
 
 def build_pacing(ctx: BuildContext) -> int:
-    ctx.lake.write("pacing", gold.campaign_pacing(ctx.lake.read("silver"), ctx.lake.read("dim_campaign")))
+    """Pacing from the (small) fill table; equal to computing it from silver."""
+    ctx.lake.write("pacing", gold.campaign_pacing_from_fill(ctx.lake.read("fill"), ctx.lake.read("dim_campaign")))
     return _checked(ctx, "pacing")
 
 

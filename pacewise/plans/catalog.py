@@ -36,6 +36,7 @@ PURE: dict[str, Query] = {
     "gold_delivery": _delivery,
     "gold_fill": _fill,
     "gold_pacing": _pacing,
+    "gold_pacing_from_fill": lambda s, d: gold.campaign_pacing_from_fill(_fill(s, d), given.dim(s, d)),
     "pacing_leaderboard": lambda s, d: analyst.pacing_leaderboard(_pacing(s, d)),
     "fill_by_placement": lambda s, d: analyst.fill_by_placement(_fill(s, d)),
     "completion_funnel": lambda s, d: analyst.completion_funnel(_delivery(s, d)),

@@ -4,8 +4,6 @@ application and input folder, then reused by the queries that read it."""
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +82,7 @@ def delete_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = erase.erase(spark, by_day, users, ids)
     if cb.rows_deleted != cu.rows_deleted:
         raise AssertionError("bucketed and unbucketed copies deleted different row counts")
-    rows = [dict(asdict(c), user_id=ids[0] if ids else None) for c in (cb, cu)]
+    rows = [dict(c.report(), user_id=ids[0] if ids else None) for c in (cb, cu)]
     out = spark.createDataFrame(rows)
     ratio = lambda a, b: float(a) / b if b else None
     return out.withColumn("rows_ratio_unbucketed_over_bucketed",

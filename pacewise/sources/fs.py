@@ -61,3 +61,28 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully-qualified URI of ``path`` (as ``_metadata.file_path`` reports it)."""
     fs, p = _path(spark, path)
     return str(fs.makeQualified(p).toUri().toString())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the entries directly under ``path`` starting with ``prefix``."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(str(st.getPath().getName()) for st in fs.listStatus(p)
+                  if str(st.getPath().getName()).startswith(prefix))

@@ -65,3 +65,38 @@ def test_bucketed_delete_rewrites_far_less(spark):
     assert b["rows_deleted"] == u["rows_deleted"] > 0
     assert u["rows_rewritten"] / b["rows_rewritten"] > 1.5          # N10
     assert F is not None
+
+
+def test_half_done_swap_is_finished_by_recover(spark, monkeypatch):
+    from pacewise.operators import maintenance
+    from pacewise.sources import fs
+    table = silver_table(fresh_dir(spark, "t-recover") + "/fact_event")
+    df = table.with_layout(given.silver(spark, "/root/testdata/sf0.001"))
+    df.repartition(3).write.partitionBy(*table.partition_by).parquet(table.path)
+    before = fingerprint(table.read(spark, layout=True))
+    real_rename, calls = fs.rename, {"n": 0}
+
+    def failing_rename(spark_, src, dst):
+        calls["n"] += 1
+        if calls["n"] == 3:
+            raise RuntimeError("driver lost")
+        return real_rename(spark_, src, dst)
+
+    monkeypatch.setattr(fs, "rename", failing_rename)
+    with pytest.raises(RuntimeError):
+        compact(spark, table, min_input_files=2)
+    monkeypatch.setattr(fs, "rename", real_rename)
+    assert fs.list_names(spark, table.path, "_swap_")          # manifest left behind
+    assert maintenance.recover(spark, table.path) == 1
+    spark.catalog.refreshByPath(table.path)
+    assert fingerprint(table.read(spark, layout=True)) == before
+
+
+def test_pacing_from_fill_equals_pacing_from_silver(spark):
+    from pacewise.operators import gold
+    silver = given.silver(spark, "/root/testdata/sf0.001")
+    dim = given.dim(spark, "/root/testdata/sf0.001")
+    a = gold.campaign_pacing(silver, dim)
+    b = gold.campaign_pacing_from_fill(gold.inventory_fill(silver), dim)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

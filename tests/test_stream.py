@@ -53,3 +53,23 @@ def test_lost_checkpoint_with_existing_tag_is_refused(spark):
     with pytest.raises(RuntimeError):
         _run(spark, lake, landing, checkpoint=lake.folder("_chk2"))
     _run(spark, lake, landing, tag="ingest2", checkpoint=lake.folder("_chk3"))   # new tag is fine
+
+
+def test_merge_batches_keeps_rows_and_newest_batch(spark):
+    from pacewise.operators.maintenance import merge_batches
+    from pacewise.sources import fs
+    lake = Lake(spark, fresh_dir(spark, "t-merge"))
+    landing = lake.folder("landing")
+    stream.land_envelopes(given.bronze(spark, SF001), landing, files=4)
+    _run(spark, lake, landing)
+    tag_dir = f"{lake['bronze'].path}/stream_tag=ingest"
+    before = lake.read("bronze").count()
+    assert len(fs.list_names(spark, tag_dir, "batch_id=")) == 4
+    report = merge_batches(spark, lake["bronze"], "ingest")
+    assert report == {"merged_batches": 3, "into_batch": 2}
+    assert fs.list_names(spark, tag_dir, "batch_id=") == ["batch_id=2", "batch_id=3"]
+    assert lake.read("bronze").count() == before
+    # a restart continues with batch ids above the merged folder
+    more = lake.folder("landing2")
+    stream.land_envelopes(given.bronze(spark, SF001).limit(10), more, files=1)
+    assert merge_batches(spark, lake["bronze"], "ingest") == {"merged_batches": 0}
