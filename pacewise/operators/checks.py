@@ -13,7 +13,8 @@ from pacewise.operators.joins import sized_broadcast
 def orphan_impressions(silver: DataFrame) -> DataFrame:
     """Impressions without an ad request of the same request_id (N4: B17 as C6 left-anti join)."""
     imps = silver.where(F.col("event_type") == "impression").select("request_id")
-    reqs = silver.where(F.col("event_type") == "ad_request").select("request_id")
+    # distinct: a request id repeated many times reaches the join as one row (partial agg map-side)
+    reqs = silver.where(F.col("event_type") == "ad_request").select("request_id").distinct()
     return imps.join(reqs, "request_id", "left_anti").agg(F.count(F.lit(1)).alias("orphan_impressions"))
 
 

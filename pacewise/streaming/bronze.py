@@ -37,13 +37,20 @@ ENVELOPE_SCHEMA = StructType([
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = "ad_events",
-                 starting_offsets: str = "earliest") -> DataFrame:
-    """Kafka topic as a stream (A1). Needs the Kafka connector on the classpath."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .load())
+                 starting_offsets: str = "earliest",
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka topic as a stream (A1). Needs the Kafka connector on the classpath.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch (a backlog after downtime is drained in
+    bounded batches instead of one huge one).
+    """
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap)
+              .option("subscribe", topic)
+              .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load()
 
 
 def file_source(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
