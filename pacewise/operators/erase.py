@@ -11,6 +11,7 @@ no rows to. Every erase ends with a verification that the users have no rows lef
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pacewise.functions import is_valid_user_id, user_bucket
 from pacewise.operators import gold
 from pacewise.operators.joins import bounded_broadcast
-from pacewise.operators.maintenance import partition_predicate
+from pacewise.operators.maintenance import partition_predicate, recover, swap_folders
 from pacewise.session import checkpoint_root
 from pacewise.sources import fs
 from pacewise.sources.tables import Lake, Table
@@ -116,6 +117,7 @@ def erase(spark: SparkSession, table: Table, users: DataFrame,
           ids: list[str] | None = None, verify: bool = True) -> EraseCost:
     """Delete every row of ``users`` from ``table`` by rewriting only the touched partitions (K1)."""
     cost = EraseCost(table.name or table.path)
+    recover(spark, table.path)
     if not table.exists(spark):
         return cost
     parts = list(table.partition_by)
@@ -160,10 +162,13 @@ def erase(spark: SparkSession, table: Table, users: DataFrame,
                 raise AssertionError(f"{table.path}: data file outside any partition folder")
             fs.delete(spark, f"{table.path}/{rel}")
     else:
-        staged = table.at(f"{table.path.rstrip('/')}__erase_stage")
+        staged = table.at(f"{table.path.rstrip('/')}__erase_{uuid.uuid4().hex[:10]}")
         staged.write(survivors, mode="overwrite")
-        fs.delete(spark, table.path)
-        fs.rename(spark, staged.path, table.path)
+        data = lambda p: [n for n in fs.list_names(spark, p) if not n.startswith(("_", "."))]
+        swap_folders(spark, table.path,
+                     [(f"{staged.path}/{n}", f"{table.path.rstrip('/')}/{n}") for n in data(staged.path)],
+                     [f"{table.path.rstrip('/')}/{n}" for n in data(table.path)])
+        fs.delete(spark, staged.path)
     spark.catalog.refreshByPath(table.path)
     if verify:
         left = remaining_rows(spark, table, users, ids)

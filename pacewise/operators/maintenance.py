@@ -52,7 +52,7 @@ def partition_predicate(cols: list[str], values: list[tuple]) -> Column:
 
 
 # --- crash-safe folder swap ------------------------------------------------------------------------
-def _swap(spark: SparkSession, table_path: str, moves: list[tuple[str, str]], drops: list[str]) -> None:
+def swap_folders(spark: SparkSession, table_path: str, moves: list[tuple[str, str]], drops: list[str]) -> None:
     """Replace folders: each ``(staged, target)`` move replaces ``target``; ``drops`` are removed.
 
     A manifest (``_swap_<id>.json``, ignored by readers) is written first, so a driver lost in
@@ -121,13 +121,13 @@ def compact(spark: SparkSession, table: Table, min_input_files: int = MIN_INPUT_
     files_after = file_stats(spark, stage).count()
 
     if parts:
-        _swap(spark, table.path, [(f"{stage.path}/{rel}", f"{table.path}/{rel}") for rel in old_dirs], [])
+        swap_folders(spark, table.path, [(f"{stage.path}/{rel}", f"{table.path}/{rel}") for rel in old_dirs], [])
     else:
         old_files = [f"{table.path.rstrip('/')}/{n}" for n in fs.list_names(spark, table.path)
                      if not n.startswith(("_", "."))]
         moved = [(f"{stage.path}/{n}", f"{table.path.rstrip('/')}/{n}")
                  for n in fs.list_names(spark, stage.path) if not n.startswith(("_", "."))]
-        _swap(spark, table.path, moved, old_files)
+        swap_folders(spark, table.path, moved, old_files)
     fs.delete(spark, stage.path)
     spark.catalog.refreshByPath(table.path)
     return {"partitions": len(targets), "files_before": files_before, "files_after": files_after}
@@ -157,7 +157,7 @@ def merge_batches(spark: SparkSession, bronze: Table, tag: str) -> dict[str, int
     staged.write(selected, mode="overwrite")
     if fingerprint(selected) != fingerprint(staged.read(spark, layout=True)):
         raise AssertionError(f"batch merge of {tag_dir} changed the data; staging kept at {stage_root}")
-    _swap(spark, bronze.path, [(staged.path, f"{tag_dir}/batch_id={target}")],
+    swap_folders(spark, bronze.path, [(staged.path, f"{tag_dir}/batch_id={target}")],
           [f"{tag_dir}/batch_id={b}" for b in olds[:-1]])
     fs.delete(spark, stage_root)
     spark.catalog.refreshByPath(bronze.path)
