@@ -95,3 +95,32 @@ def test_forget_all_layers_and_audit(spark):
     # the rebuilt aggregates count only the remaining impressions
     n_imps = lake.read("silver").where(F.col("event_type") == "impression").count()
     assert lake.read("fill").agg(F.sum("impressions")).first()[0] == n_imps
+
+
+def test_reconcile_applies_tombstones_and_clears_them(spark):
+    from conftest import SF001
+    from pacewise.plans import builders
+    from pacewise.sources import fs
+    lake = Lake(spark, fresh_dir(spark, "t-reconcile"))
+    builders.run(builders.BuildContext(spark, lake, SF001), "seeded")
+    uid = lake.read("silver").groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first()[0]
+    erase.request_erasure(spark, lake, _users(spark, uid))
+    assert lake.read("silver").where(F.col("user_id") == uid).count() > 0
+    out = erase.reconcile(spark, lake)
+    assert out["applied_files"] >= 1 and "silver" in out["tables"]
+    for n in ("bronze", "silver", "delivery"):
+        assert lake.read(n).where(F.col("user_id") == uid).count() == 0
+    assert lake.read("tombstones").count() == 0
+    assert not fs.list_names(spark, lake["tombstones"].path, "part-")
+
+
+def test_erase_on_an_unpartitioned_table(spark):
+    from pacewise.sources.tables import flat_table
+    rows = [event(f"e{i}", "ad_request", dt.datetime(2024, 1, 10, i % 24), user_id=f"usr-{i % 4:05d}")
+            for i in range(40)]
+    table = flat_table(fresh_dir(spark, "t-flat") + "/events", name="flat")
+    silver_df(spark, rows).repartition(3).write.parquet(table.path)
+    cost = erase.erase(spark, table, _users(spark, "usr-00002"), ["usr-00002"])
+    assert cost.rows_deleted == 10 and cost.rows_rewritten == 40
+    assert sorted({r["user_id"] for r in table.read(spark).collect()}) == ["usr-00000", "usr-00001", "usr-00003"]
+    assert table.read(spark).count() == 30
