@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, decontaminate
+from pacewise.llm import bpe, chat, decontaminate, licenses, linededup
 from pacewise.llm.common import hex_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,37 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         hex_sha256(F.array_join("item_ids", ",").cast("binary")).alias("items_sha256"), "contaminated")
 
 
+def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", hex_sha256(F.coalesce("text", F.lit("")).cast("binary")).alias("text_sha256"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("licenses", lambda m: m["license"]), ",").alias("licenses"),
+        F.array_join(F.transform("licenses", lambda m: F.concat_ws(":", m["start"].cast("string"), F.round(m["containment"], 3).cast("string"))), ",").alias("matches"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    made = chat.format_paths(chat.reply_chain(turns.unionByName(planted)))
+    read = made.select(
+        F.col("tree").alias("conv_id"), chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), hex_sha256(told.cast("binary")).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), hex_sha256(F.col("loss").cast("binary")).alias("loss_sha256"), "formatted_chars")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op5_linededup": op5_linededup,
+    "op8_licenses": op8_licenses,
+    "op9_chat": op9_chat,
 }
