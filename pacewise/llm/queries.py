@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, licenses, linededup
+from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, quality
 from pacewise.llm.common import hex_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", hex_sha256(F.coalesce("text", F.lit("")).cast("binary")).alias("text_sha256"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs).select(
@@ -60,10 +65,18 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("loss").cast("long").alias("loss_chars"), hex_sha256(F.col("loss").cast("binary")).alias("loss_sha256"), "formatted_chars")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.rules(docs, model).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op5_linededup": op5_linededup,
+    "op7_html": op7_html,
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
+    "op10_quality": op10_quality,
 }
