@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, quality
+from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, neardup, quality
 from pacewise.llm.common import hex_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         hex_sha256(F.array_join("item_ids", ",").cast("binary")).alias("items_sha256"), "contaminated")
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -74,6 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op3_neardup": op3_neardup,
     "op5_linededup": op5_linededup,
     "op7_html": op7_html,
     "op8_licenses": op8_licenses,
