@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, neardup, quality
+from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, neardup, quality, substring
 from pacewise.llm.common import hex_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", hex_sha256(F.col("kept").cast("binary")).alias("kept_sha256"))
+
+
 def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op3_neardup": op3_neardup,
+    "op4_substring": op4_substring,
     "op5_linededup": op5_linededup,
     "op7_html": op7_html,
     "op8_licenses": op8_licenses,
