@@ -143,9 +143,13 @@ class _Chunk:
         return at, h[first], check[first], number, np.minimum.reduceat(docs, first) if len(first) else docs
 
 
-def _dealt(sizes: np.ndarray, chunk: int, parts: Iterator[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array([chunk] * len(sizes), pa.int64()), pa.array(list(parts), pa.binary())],
-                                      ["part", "chunk", "payload"])
+def _dealt(chunk: int, values: np.ndarray, width: int, ranges: int, *more: np.ndarray) -> pa.RecordBatch:
+    """A row for each hash range that the chunk's sorted values reach."""
+    cuts = _cuts(values, width, ranges)
+    parts = [(k, _squeezed(np.diff(values[a:b], prepend=np.uint64(0)), *[x[a:b] for x in more]))
+             for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int64()), pa.array([chunk] * len(parts), pa.int64()),
+                                       pa.array([p for _, p in parts], pa.binary())], ["part", "chunk", "payload"])
 
 
 def _cuts(values: np.ndarray, width: int, ranges: int) -> np.ndarray:
@@ -222,9 +226,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
                 _, values, _, flags = _Chunk(payload.as_py(), known).anchors(width)
-                cuts = _cuts(values, width, ranges)
-                yield _dealt(np.arange(ranges), chunk, (_squeezed(np.diff(values[a:b], prepend=np.uint64(0)), flags[a:b])
-                                                        for a, b in zip(cuts, cuts[1:], strict=False)))
+                yield _dealt(chunk, values, width, ranges, flags)
 
     dealt = "part bigint, chunk bigint, payload binary"
     shared = _bits(chunks.mapInArrow(probes, dealt).groupBy("part").applyInArrow(_shared_anchors, _ANSWER)).checkpoint()
@@ -234,11 +236,9 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             for chunk, payload, bits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 _, h, check, _, doc = _Chunk(payload.as_py(), known).candidates(width, _joined_bits(bits.as_py()))
-                cuts = _cuts(h, 64, ranges)
-                yield _dealt(np.arange(ranges), chunk, (_squeezed(np.diff(h[a:b], prepend=np.uint64(0)), check[a:b], doc[a:b])
-                                                        for a, b in zip(cuts, cuts[1:], strict=False)))
+                yield _dealt(chunk, h, 64, ranges, check, doc)
 
-    anchored = chunks.select("chunk", "payload").join(shared, "chunk")
+    anchored = chunks.select("chunk", "payload").join(shared, "chunk", "left")
     smaller = _bits(anchored.mapInArrow(windows, dealt).groupBy("part").applyInArrow(_smaller_elsewhere, _ANSWER)).checkpoint()
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +254,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 covered = np.cumsum(mark)[:-1] > 0
                 yield from _results(c, covered)
 
-    both = anchored.join(smaller.withColumnRenamed("bits", "answers"), "chunk").select("chunk", "payload", "bits", "answers")
+    both = anchored.join(smaller.withColumnRenamed("bits", "answers"), "chunk", "left").select("chunk", "payload", "bits", "answers")
     out = both.mapInArrow(removed, "doc bigint, n_words bigint, n_removed bigint, spans array<struct<start:int,end:int>>, kept string")
     return out.withColumnRenamed("doc", doc_id)
 
