@@ -55,6 +55,12 @@ def _latin_classes() -> tuple[str, str]:
     return by["L"], by["N"]
 
 
+def plain_pretokens() -> re.Pattern[str]:
+    """The file's word splitter for lower-cased text of plain characters without white space."""
+    letters, numbers = _latin_classes()
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
+
+
 class Vocabulary:
     """Tokens, merge ranks and the suffix automaton of a word-level byte BPE file.
 
@@ -76,8 +82,7 @@ class Vocabulary:
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self.names_utf8 = [n.encode() for n in self.names]
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        letters, numbers = _latin_classes()
-        self.pretokens = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
+        self.pretokens = plain_pretokens()
 
         stand_in = byte_symbols()
         self.symbols: dict[str, int] = {}          # symbol string -> id

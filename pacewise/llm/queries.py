@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, neardup, quality, substring
+from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, neardup, quality, substring, tokenfiles
 from pacewise.llm.common import hex_sha256, table
+from pacewise.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +49,12 @@ def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", hex_sha256(F.coalesce("text", F.lit("")).cast("binary")).alias("text_sha256"))
 
 
+def op6_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    tokenfiles.write(table(spark, sf_dir, "documents"), path, VOCABULARY)
+    return tokenfiles.digests(spark.read.parquet(path))
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_extract.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -86,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op3_neardup": op3_neardup,
     "op4_substring": op4_substring,
     "op5_linededup": op5_linededup,
+    "op6_tokenfiles": op6_tokenfiles,
     "op7_html": op7_html,
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
