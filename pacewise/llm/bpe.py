@@ -39,6 +39,12 @@ _PLAIN = re.compile("[^\x00-\x1b\x20-ɏ]")
 _END = "</w>"
 
 
+def is_plain(text: str) -> bool:
+    if text.isascii():
+        return not any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _PLAIN.search(text) is None
+
+
 def byte_symbols() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level vocabularies."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -283,7 +289,7 @@ class Encoder:
         return self.v.special[piece].to_bytes(4, "little")
 
     def _plain(self, text: str) -> bytes:
-        if _PLAIN.search(text):
+        if not is_plain(text):
             return self._slow(text)
         if len(self.words) > WORD_CACHE:
             self.words.older = dict(self.words)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pacewise.llm.bpe import _PLAIN, plain_pretokens, read_vocabulary
+from pacewise.llm.bpe import is_plain, plain_pretokens, read_vocabulary
 from pacewise.llm.common import pieces, texts, without
 
 END_ID = 1
@@ -41,7 +41,7 @@ LEAST_GAIN = 0.04       # rounds go on while one shortens the block by this shar
 NO_ID = np.iinfo(np.int64).max
 MAGIC = b"RPG1"
 _TABLE_BITS = 20
-_WORDS = 250_000
+_WORDS = 350_000
 
 
 class LibraryEncoder:
@@ -59,15 +59,19 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.base = self.library.get_vocab_size(with_added_tokens=True)
         self.pretokens = plain_pretokens()
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.base)])
 
     def encode(self, bodies: list[str]) -> list[bytes]:
-        cut = [None if "<|" in t or _PLAIN.search(t) else t.lower().split() for t in bodies]
-        if len(self.words) > _WORDS:
-            self.words.clear()
-        new = list({w for words in cut if words for w in words if w not in self.words})
+        cut = [None if "<|" in t or not is_plain(t) else t.lower().split() for t in bodies]
+        if len(self.words) > _WORDS:  # a word met again moves on from the older generation
+            self.words, self.older = {}, self.words
+        new = set().union(*filter(None, cut)).difference(self.words)
+        known = new.intersection(self.older)
+        self.words.update((w, self.older[w]) for w in known)
+        new = list(new - known)
         if new:
             found = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
             pieces_of = np.fromiter((len(self.pretokens.findall(w)) for w in new), np.int64, len(new))
@@ -81,6 +85,18 @@ class LibraryEncoder:
                 for t, words in zip(bodies, cut, strict=True)]
 
 
+_ENCODERS: dict[int, LibraryEncoder] = {}
+
+
+def worker_encoder(spec: str) -> LibraryEncoder:
+    """This Python worker's encoder; later tasks go on with the words it knows."""
+    key = hash(spec)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = LibraryEncoder(spec)
+    return _ENCODERS[key]
+
+
 def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (left, right) and whether each symbol ends a document."""
     seq, rules = ids.astype(np.uint32), []
@@ -186,7 +202,7 @@ def write(df: DataFrame, path: str, vocabulary_path: str, doc_id: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, docs_here, ids_here, size = TaskContext.get().partitionId(), 0, [], [], 0
-        encoder = LibraryEncoder(spec.value)
+        encoder = worker_encoder(spec.value)
 
         def made() -> pa.RecordBatch:
             payload = pack_block(docs_here, ids_here, encoder.base)
