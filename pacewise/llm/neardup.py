@@ -7,12 +7,13 @@ order-preserving alignment of their shingles matches ``c`` of ``n`` and ``m`` wi
 1 minus that ratio is a metric, the distance below.
 
 Work is bounded in the size of groups of copies. Texts of equal words are one class before any bucket
-is built. In a bucket all members are aligned with its hub (the smallest id) only. A member within
-0.2 of the hub is linked; one beyond 0.4 can't be near any linked member (triangle inequality);
-for the few between, exactly the linked members that may be near them stay for the next round, which
-takes the next hubs of the bucket, four times as many each round. So no link inside a bucket is
-lost and a group of n near copies costs about n alignments, not n squared. Classes are the connected
-components of the links, found by alternating large-star and small-star steps.
+is built. In a bucket all members are aligned with its hub only. A member within 0.2 of the hub is
+linked; one beyond 0.4 can't be near any linked member (triangle inequality); for those between,
+exactly the linked members that may be near them stay for the next round, which takes the next hubs
+of the bucket, four times as many each round, and compares different classes only. So no link
+inside a bucket is lost, and n near copies of one original cost about n alignments; only copies that
+are neither near their original nor far from it are compared with each other. Classes are the
+connected components of the links, found by alternating large-star and small-star steps.
 
 Two documents at similarity 0.8 agree in one of 32 sketches with probability 1 - (1 - 0.8**6)**32, over
 0.9999; texts of up to 30 shingles use two picks instead of six. All state (sketches, buckets,
@@ -221,34 +222,47 @@ def _distances(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return both.mapInArrow(run, T.StructType([both.schema["hub"], both.schema["doc"], T.StructField("d", T.DoubleType())]))
 
 
-def _links(rows: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(doc, hub) pairs of near-duplicates for bucket rows (key, doc, n); see the module's text."""
+def _links(rows: DataFrame, bodies: DataFrame) -> DataFrame | None:
+    """(doc, hub) pairs of near-duplicates for bucket rows (key, doc, n); see the module's text.
+
+    Hubs are the members that meet most others over all buckets: the original of a group of edited
+    copies, where it is there. Pairs of one class so far are not compared again.
+    """
+    met_others = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
+    order = met_others.groupBy("doc").agg(F.struct((-F.sum("size")).alias("met"), F.col("doc").alias("id")).alias("order"))
+    rows = rows.join(order, "doc").withColumn("root", F.col("doc")).checkpoint()
     links, hubs_each = None, 1
     while not rows.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("doc"))
-        hubs = rows.withColumn("r", rank).where(F.col("r") <= hubs_each).select("key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"))
-        met = rows.join(hubs, "key").where("doc > hub").select("key", "hub", "doc", "n", "hub_n").checkpoint()
-        least, most = F.least("n", "hub_n"), F.greatest("n", "hub_n")
-        close = met.where(least >= (1 - FAR) * most - _EPS).select("hub", "doc").distinct()
-        known = _distances(close, bodies).checkpoint()
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("order"))
+        hubs = rows.withColumn("r", rank).where(F.col("r") <= hubs_each).select(
+            "key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("order").alias("hub_order"), F.col("root").alias("hub_root"))
+        met = rows.join(hubs, "key").where("order > hub_order and root <> hub_root")
+        met = met.select("key", "hub", "doc", "n", "hub_n").checkpoint()
+        close = met.where(F.least("n", "hub_n") >= (1 - FAR) * F.greatest("n", "hub_n") - _EPS).select("hub", "doc").distinct()
+        known = _distances(close, bodies).where(F.col("d") <= FAR + _EPS).checkpoint()
         new = known.where(F.col("d") <= NEAR + _EPS).select("doc", "hub")
         links = new if links is None else links.unionByName(new)
-        told = met.join(known, ["hub", "doc"], "left").withColumn("d", F.coalesce("d", F.lit(1.0)))
-        grey = (F.col("d") > NEAR + _EPS) & (F.col("d") <= FAR + _EPS)
-        border = told.where(grey).groupBy("key", "hub").agg(F.min("d").alias("grey"))
-        told = told.join(border, ["key", "hub"], "left")
-        linked = F.col("d") <= NEAR + _EPS
-        state = told.groupBy("key", "doc").agg(
-            F.first("n").alias("n"), F.max(linked).alias("linked"), F.max(grey).alias("is_grey"),
-            F.max(F.coalesce(linked & (F.col("d") >= F.col("grey") - NEAR - _EPS), F.lit(False))).alias("near_grey"))
-        done = hubs.select("key", F.col("hub").alias("doc"))
-        rows = (state.where(~F.col("linked") | F.col("is_grey") | F.col("near_grey")).select("key", "doc", "n")
-                .join(done, ["key", "doc"], "left_anti"))
-        rows = _shared(rows).checkpoint()
+        roots = components(links)
+        told = met.select("key", "hub", "doc").join(known, ["hub", "doc"])
+        told = _rooted(_rooted(told, roots, "doc", "root"), roots, "hub", "hub_root")
+        # the nearest member of another class that is neither near the hub nor far from it
+        border = told.where((F.col("d") > NEAR + _EPS) & (F.col("root") != F.col("hub_root"))).groupBy("key", "hub").agg(F.min("d").alias("grey"))
+        settled = (told.where(F.col("d") <= NEAR + _EPS).join(border, ["key", "hub"], "left")
+                   .where(F.col("grey").isNull() | (F.col("d") < F.col("grey") - NEAR - _EPS)).select("key", "doc"))
+        done = settled.unionByName(hubs.select("key", F.col("hub").alias("doc")))
+        left = _rooted(rows.drop("root").join(done, ["key", "doc"], "left_anti"), roots, "doc", "root")
+        several = left.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
+        rows = left.join(several, "key", "left_semi").checkpoint()
         hubs_each *= 4
     return links
 
 
+def _rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
+    """Adds the class so far of the documents in column ``of``."""
+    found = roots.select(F.col("doc").alias(of), F.col("root").alias("__root"))
+    return rows.join(found, of, "left").withColumn(name, F.coalesce("__root", F.col(of))).drop("__root")
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows of buckets with two members or more."""
     several = rows.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("key")
