@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from pacewise.llm.common import appended, extend, pieces, texts, without
 
-TRAIN_ROWS = 4_000      # labelled rows used for training and calibration, at most
+TRAIN_ROWS = 2_000      # labelled rows used for training and calibration, at most
 HELD_OUT = 4            # every fourth of them calibrates
 THRESHOLD = 0.5         # kept if the calibrated probability of good quality is at least this
 MIN_WORDS = 50
