@@ -217,6 +217,14 @@ def refresh_fill_days(spark: SparkSession, lake: Lake, days: list) -> int:
     return len(days)
 
 
+def stale_fill_days(lake: Lake) -> list:
+    """Days whose stored fill differs from the fill of the silver table."""
+    stored = lake.read("fill")
+    fresh = gold.inventory_fill(lake.read("silver")).select(*stored.columns)
+    differ = fresh.subtract(stored).unionByName(stored.subtract(fresh))
+    return [r[0] for r in differ.select(F.col("event_hour").cast("date")).distinct().collect()]
+
+
 def rebuild_pacing(spark: SparkSession, lake: Lake) -> int:
     """Pacing from the refreshed fill table (small: campaign x placement x hour)."""
     lake.write("pacing", gold.campaign_pacing_from_fill(lake.read("fill"), lake.read("dim_campaign")))
@@ -239,9 +247,15 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     Order: bronze, silver, delivery (bronze first, or a silver rebuild would resurrect the
     users), then fill is recomputed for the silver days touched and pacing from fill. Every table is attempted
     even after a failure; the audit row lists only the tables fully erased and verified, and
-    the job raises at the end if any table failed.
+    the job raises at the end if any table failed. A marker in the lake tells a later run that one
+    before it didn't finish; that run compares all of fill with silver, because the days which the
+    failed one touched are no longer known.
     """
     users = frozen_users(spark, users)
+    marker = f"{lake['fill'].path.rstrip('/')}/_erase_unfinished"
+    resumed = fs.exists(spark, marker)
+    if not resumed:
+        fs.write_text(spark, marker, "")
     ids = literal_ids(users)
     done: list[str] = []
     failed: dict[str, str] = {}
@@ -258,6 +272,8 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
             failed[name] = repr(exc)
     if "silver" in done:
         try:
+            if resumed:
+                touched_days = sorted({*touched_days, *stale_fill_days(lake)}, key=str)
             refresh_fill_days(spark, lake, touched_days)
             done.append("fill")
             rebuild_pacing(spark, lake)
@@ -269,6 +285,7 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     record_erasure(spark, lake, users, done)
     if failed:
         raise RuntimeError(f"erasure incomplete for {sorted(failed)}: {failed}")
+    fs.delete(spark, marker, recursive=False)
     return {"tables": done, "costs": costs}
 
 

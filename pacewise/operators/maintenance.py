@@ -69,9 +69,20 @@ def _apply(spark: SparkSession, moves: list, drops: list) -> None:
     for d in drops:
         fs.delete(spark, d)
     for staged, target in moves:
+        parent, name = target.rstrip("/").rsplit("/", 1)
+        aside = f"{parent}/.old-{name}"  # a leading dot hides the folder from readers
         if fs.exists(spark, staged):
-            fs.delete(spark, target)
-            fs.rename(spark, staged, target)
+            if fs.exists(spark, target):
+                fs.delete(spark, aside)
+                fs.rename(spark, target, aside)
+            try:
+                fs.rename(spark, staged, target)
+            except Exception:
+                if fs.exists(spark, aside) and not fs.exists(spark, target):
+                    fs.rename(spark, aside, target)
+                raise
+        if fs.exists(spark, target):
+            fs.delete(spark, aside)
 
 
 def recover(spark: SparkSession, table_path: str) -> int:

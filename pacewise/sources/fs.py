@@ -38,10 +38,12 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     return bool(fs.delete(p, recursive))
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Raises where the file system refuses: it says so in its result only."""
     fs, p = _path(spark, src)
     _, q = _path(spark, dst)
-    return bool(fs.rename(p, q))
+    if not fs.rename(p, q):
+        raise OSError(f"could not rename {src} to {dst}")
 
 
 def has_data_files(spark: SparkSession, path: str) -> bool:
