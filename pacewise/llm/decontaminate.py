@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pacewise.llm.common import appended, extend, pieces, texts, without
+from pacewise.session import checkpoint_root
 
 WINDOW = 10                 # words of a window
 PART_BYTES = 16 << 20       # item texts in one broadcast
@@ -108,7 +109,8 @@ def contamination(df: DataFrame, items: DataFrame, text: str = "text", item_id:
         return _scan(kept, [tuple(r) for r in items.collect()], text)
     # a larger benchmark: scan for one part of the items at a time, then merge a document's hits
     key = F.pmod(F.xxhash64("item", "body"), F.lit(2 * parts))
-    rows = kept.withColumn("__row", F.monotonically_increasing_id())
+    checkpoint_root(kept.sparkSession)
+    rows = kept.withColumn("__row", F.monotonically_increasing_id()).checkpoint()  # the numbers must stay the same
     found = None
     for k in range(2 * parts):
         part = _scan(rows, [tuple(r) for r in items.where(key == k).collect()], text, raw=True)
