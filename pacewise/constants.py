@@ -16,4 +16,5 @@ USER_ID_PATTERN = r"\A[A-Za-z0-9_-]+\z"  # allow-list for ids handed to erasure
 AMPLIFY = 10  # copies of silver in the layout study
 BAD_LAYOUT_FILES = 500  # forced file count of the unpartitioned layout
 MIN_INPUT_FILES = 2  # sort-compaction rewrites partitions holding at least this many files
+SMALL_FILE_BYTES = 32 * 1024 * 1024  # files below this size count for compaction
 SORT_KEYS = ("campaign_id", "event_ts")  # clustering order of the optimized layout

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pacewise.constants import AMPLIFY, QUARTILE_TYPES
 from pacewise.functions import ratio
-from pacewise.operators.joins import sized_broadcast
 from pacewise.schemas import EVENT_COLUMNS
 
 
@@ -52,12 +51,11 @@ def bronze_smoke(bronze: DataFrame) -> DataFrame:
 def silver_checks(silver: DataFrame, dim: DataFrame) -> DataFrame:
     """Events, distinct events, campaigns and events joining a campaign (L11: B16, D4, D5, C5).
 
-    The dimension-side counts are scalar subqueries; the join broadcasts the dimension only
-    when its size estimate is within the broadcast bound.
+    The dimension-side counts are scalar subqueries.
     """
     campaigns = dim.agg(F.count(F.lit(1))).scalar()
     joinable = (silver.select("campaign_id")
-                .join(sized_broadcast(dim.select("campaign_id")), "campaign_id")
+                .join(dim.select("campaign_id"), "campaign_id")
                 .agg(F.count(F.lit(1))).scalar())
     return (silver.agg(F.count(F.lit(1)).alias("events"),
                        F.countDistinct("event_id").alias("distinct_events"))

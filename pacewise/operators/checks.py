@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewise.functions import seconds, utc_day
-from pacewise.operators.joins import sized_broadcast
 
 
 def orphan_impressions(silver: DataFrame) -> DataFrame:
@@ -21,7 +20,7 @@ def orphan_impressions(silver: DataFrame) -> DataFrame:
 def unjoined_events(silver: DataFrame, dim: DataFrame) -> DataFrame:
     """Silver events whose campaign is not in the dimension."""
     return (silver.select("campaign_id")
-            .join(sized_broadcast(dim.select("campaign_id")), "campaign_id", "left_anti")
+            .join(dim.select("campaign_id"), "campaign_id", "left_anti")
             .agg(F.count(F.lit(1)).alias("unjoined_events")))
 
 

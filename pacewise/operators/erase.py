@@ -14,23 +14,16 @@ from __future__ import annotations
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.functions import is_valid_user_id, user_bucket
 from pacewise.operators import gold
-from pacewise.operators.joins import bounded_broadcast
-from pacewise.operators.maintenance import partition_predicate, recover, swap_folders
+from pacewise.operators.maintenance import NULL_KEY, in_partitions, partition_key, recover, swap_folders
 from pacewise.session import checkpoint_root
 from pacewise.sources import fs
 from pacewise.sources.tables import Lake, Table
 
-# Id lists up to this size become literal IN filters (pushed to the scan, bucket-pruned);
-# larger lists are joined as a table.
-MAX_LITERAL_IDS = 1000
-# Tombstone lists up to this many ids are broadcast to readers; beyond it a shuffle anti join.
-MAX_BROADCAST_IDS = 2_000_000
-
 PII_TABLES = ("bronze", "silver", "delivery")
 AGGREGATE_TABLES = ("fill", "pacing")
 
@@ -60,7 +53,7 @@ def validated_users(users: DataFrame) -> DataFrame:
     """Distinct user ids, after rejecting any id outside the allow-list."""
     bad = users.where(~is_valid_user_id("user_id")).select("user_id").limit(1).collect()
     if bad:
-        raise UnsafeUserId(f"refusing unsafe user_id {bad[0][0]!r} (expected [A-Za-z0-9_-]+)")
+        raise UnsafeUserId(f"user id {bad[0][0]!r} has characters other than letters, digits, _ and -")
     return users.select("user_id").distinct()
 
 
@@ -74,47 +67,32 @@ def frozen_users(spark: SparkSession, users: DataFrame) -> DataFrame:
     return validated_users(users).checkpoint(eager=True)
 
 
-def literal_ids(users: DataFrame) -> list[str] | None:
-    """The ids as a list when there are at most ``MAX_LITERAL_IDS`` of them (a bounded collect)."""
-    few = users.limit(MAX_LITERAL_IDS + 1).collect()
-    return None if len(few) > MAX_LITERAL_IDS else sorted(r["user_id"] for r in few)
-
-
-def _user_predicate(table: Table, ids: list[str]) -> Column:
-    pred = F.col("user_id").isin(ids)
-    if "user_bucket" in table.partition_by:
-        # constant-folds to a static partition filter on the bucket column
-        pred = pred & F.col("user_bucket").isin(*[user_bucket(F.lit(i)) for i in ids])
-    return pred
-
-
-def _flag_users(df: DataFrame, table: Table, users: DataFrame, ids: list[str] | None) -> DataFrame:
+def _flag_users(df: DataFrame, table: Table, users: DataFrame) -> DataFrame:
     """``df`` plus ``_erase`` (true for the users' rows)."""
-    if ids is not None:
-        return df.withColumn("_erase", F.coalesce(F.col("user_id").isin(ids), F.lit(False)))
     side = users.select("user_id", F.lit(True).alias("_erase"))
     return (df.join(side, "user_id", "left")
             .withColumn("_erase", F.coalesce(F.col("_erase"), F.lit(False))))
 
 
-def _users_rows(df: DataFrame, table: Table, users: DataFrame, ids: list[str] | None) -> DataFrame:
-    if ids is not None:
-        return df.where(_user_predicate(table, ids))
+def _users_rows(df: DataFrame, table: Table, users: DataFrame) -> DataFrame:
+    """The users' rows: one plan for any number of ids.
+
+    On a bucketed table the users' buckets (at most ``USER_BUCKETS`` values) are a static
+    partition filter, so the scan opens only those folders.
+    """
     if "user_bucket" in table.partition_by:
-        side = users.withColumn("user_bucket", user_bucket("user_id"))
-        return df.join(side, ["user_bucket", "user_id"], "left_semi")
+        buckets = [r[0] for r in users.select(user_bucket("user_id")).distinct().collect()]
+        df = df.where(F.col("user_bucket").isin(buckets))
     return df.join(users, "user_id", "left_semi")
 
 
-def remaining_rows(spark: SparkSession, table: Table, users: DataFrame,
-                   ids: list[str] | None = None) -> int:
+def remaining_rows(spark: SparkSession, table: Table, users: DataFrame) -> int:
     """Rows of ``users`` still readable in ``table``."""
     spark.catalog.refreshByPath(table.path)
-    return _users_rows(table.read(spark, layout=True), table, users, ids).count()
+    return _users_rows(table.read(spark, layout=True), table, users).count()
 
 
-def erase(spark: SparkSession, table: Table, users: DataFrame,
-          ids: list[str] | None = None, verify: bool = True) -> EraseCost:
+def erase(spark: SparkSession, table: Table, users: DataFrame, verify: bool = True) -> EraseCost:
     """Delete every row of ``users`` from ``table`` by rewriting only the touched partitions (K1)."""
     cost = EraseCost(table.name or table.path)
     recover(spark, table.path)
@@ -122,18 +100,19 @@ def erase(spark: SparkSession, table: Table, users: DataFrame,
         return cost
     parts = list(table.partition_by)
     scan = table.read(spark, layout=True)
-    touched = [tuple(r) for r in _users_rows(scan, table, users, ids).select(*parts).distinct().collect()] \
-        if parts else ([()] if _users_rows(scan, table, users, ids).limit(1).count() else [])
+    theirs = _users_rows(scan, table, users)
+    touched = ([r[0] for r in theirs.select(partition_key(parts)).distinct().collect()] if parts
+               else [r[0] for r in theirs.select("user_id").limit(1).collect()])
     if not touched:
         return cost
-    in_scope = partition_predicate(parts, touched) if parts else F.lit(True)
+    in_scope = in_partitions(parts, touched) if parts else F.lit(True)
 
     # Cost and emptiness per partition in one pass over the touched partitions; only one row
     # per touched partition reaches the driver.
     scoped = (table.read(spark, layout=True).where(in_scope)
               .withColumn("_file", F.col("_metadata.file_path"))
               .withColumn("_size", F.col("_metadata.file_size")))
-    per_part = (_flag_users(scoped, table, users, ids)
+    per_part = (_flag_users(scoped, table, users)
                 .groupBy(*parts, "_file", "_size")
                 .agg(F.count(F.lit(1)).alias("rows"),
                      F.sum(F.col("_erase").cast("int")).cast("bigint").alias("erased"))
@@ -151,7 +130,7 @@ def erase(spark: SparkSession, table: Table, users: DataFrame,
     cost.bytes_rewritten = sum(r["bytes"] for r in per_part)
     cost.rows_deleted = sum(r["erased"] for r in per_part)
 
-    survivors = (_flag_users(table.read(spark, layout=True).where(in_scope), table, users, ids)
+    survivors = (_flag_users(table.read(spark, layout=True).where(in_scope), table, users)
                  .where(~F.col("_erase")).drop("_erase"))
     if parts:
         if len(emptied) < len(per_part):
@@ -171,29 +150,13 @@ def erase(spark: SparkSession, table: Table, users: DataFrame,
         fs.delete(spark, staged.path)
     spark.catalog.refreshByPath(table.path)
     if verify:
-        left = remaining_rows(spark, table, users, ids)
+        left = remaining_rows(spark, table, users)
         if left:
             raise AssertionError(f"{cost.table}: {left} rows of erased users remain")
     return cost
 
 
 # --- the erasure job (L12) -------------------------------------------------------------------------
-def rebuild_aggregates(spark: SparkSession, lake: Lake, names=AGGREGATE_TABLES) -> dict[str, int]:
-    """Recompute the count tables from the cleaned silver (K8); they have no user_id to delete."""
-    out = {}
-    silver = lake.read("silver")
-    for name in names:
-        if name == "fill":
-            lake.write("fill", gold.inventory_fill(silver))
-        elif name == "pacing":
-            lake.write("pacing", gold.campaign_pacing(silver, lake.read("dim_campaign")))
-        n = lake.count(name)
-        if n <= 0:
-            raise AssertionError(f"[{name}] no rows written after erasure")
-        out[name] = n
-    return out
-
-
 def refresh_fill_days(spark: SparkSession, lake: Lake, days: list) -> int:
     """Recompute fill only for the silver days the erasure touched (K8, incremental).
 
@@ -204,7 +167,7 @@ def refresh_fill_days(spark: SparkSession, lake: Lake, days: list) -> int:
     if not days:
         return 0
     table = lake["fill"]
-    scope = partition_predicate(["event_date"], [(d,) for d in days])
+    scope = in_partitions(["event_date"], [NULL_KEY if d is None else d.isoformat() for d in days])
     fresh = gold.inventory_fill(lake.read("silver", layout=True).where(scope))
     present = {r[0] for r in fresh.select(F.col("event_hour").cast("date")).distinct().collect()}
     if present:
@@ -230,7 +193,7 @@ def rebuild_pacing(spark: SparkSession, lake: Lake) -> int:
     lake.write("pacing", gold.campaign_pacing_from_fill(lake.read("fill"), lake.read("dim_campaign")))
     n = lake.count("pacing")
     if n <= 0:
-        raise AssertionError("[pacing] no rows written after erasure")
+        raise AssertionError("pacing is empty after the erasure")
     return n
 
 
@@ -256,14 +219,13 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     resumed = fs.exists(spark, marker)
     if not resumed:
         fs.write_text(spark, marker, "")
-    ids = literal_ids(users)
     done: list[str] = []
     failed: dict[str, str] = {}
     costs: dict[str, dict] = {}
     touched_days: list = []
     for name in PII_TABLES:
         try:
-            cost = erase(spark, lake[name], users, ids)
+            cost = erase(spark, lake[name], users)
             costs[name] = cost.report()
             if name == "silver":
                 touched_days = sorted({t[0] for t in cost.touched}, key=str)
@@ -300,11 +262,10 @@ def request_erasure(spark: SparkSession, lake: Lake, users: DataFrame) -> None:
 def live(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """``name`` as readers see it: tombstoned users excluded at read time.
 
-    The tombstone ids are broadcast only after proving they number at most
-    ``MAX_BROADCAST_IDS``; beyond that the anti join shuffles on user_id.
+    An anti join on user_id, which the session's size threshold or AQE may turn into a broadcast.
     """
     tomb = lake.read("tombstones").select("user_id").distinct()
-    return lake.read(name).join(bounded_broadcast(tomb, MAX_BROADCAST_IDS), "user_id", "left_anti")
+    return lake.read(name).join(tomb, "user_id", "left_anti")
 
 
 def reconcile(spark: SparkSession, lake: Lake) -> dict:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pacewise.constants import QUARTILE_TYPES
 from pacewise.functions import any_true, count_when, inclusive_days, pace_label, ratio, utc_day, utc_hour
-from pacewise.operators.joins import sized_broadcast
 from pacewise.schemas import DELIVERY_SCHEMA, FILL_SCHEMA, PACING_SCHEMA, conform
 
 DELIVERY_KEYS = ("request_id", "impression_ts", "campaign_id", "creative_id", "user_id",
@@ -87,7 +86,7 @@ def pacing_from_daily(daily: DataFrame, dim: DataFrame) -> DataFrame:
     partitioned by campaign and holds at most one row per flight day.
     """
     as_of = daily.agg(F.max("pacing_date")).scalar()
-    calendar = (sized_broadcast(dim.select("campaign_id", "budget", "flight_start", "flight_end"))
+    calendar = (dim.select("campaign_id", "budget", "flight_start", "flight_end")
                 .select("*", F.explode(F.sequence("flight_start", "flight_end",
                                                   F.expr("INTERVAL 1 DAY"))).alias("pacing_date"))
                 .where(F.col("pacing_date") <= as_of))

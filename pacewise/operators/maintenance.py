@@ -1,6 +1,6 @@
 """Small-file compaction and sort-compaction (K6, K7).
 
-Partitions holding at least ``min_input_files`` files are rewritten into a sibling staging
+Partitions holding at least ``min_input_files`` small files are rewritten into a sibling staging
 folder (one rebalanced write, optionally sorted by the table's clustering keys), checked
 against the originals by row count and an order-free content hash, and only then swapped in
 partition by partition. Nothing is replaced when the check fails. Run with no concurrent
@@ -12,12 +12,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pacewise.constants import MIN_INPUT_FILES
+from pacewise.constants import MIN_INPUT_FILES, SMALL_FILE_BYTES
 from pacewise.operators.layout import file_stats
 from pacewise.sources import fs
 from pacewise.sources.tables import Lake, Table
@@ -31,24 +30,21 @@ def fingerprint(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["h"])
 
 
-def partition_predicate(cols: list[str], values: list[tuple]) -> Column:
-    """OR over the given partition tuples, grouped so the last column becomes an IN list."""
-    if not cols:
-        return F.lit(True)
-    groups: dict[tuple, list] = {}
-    for v in values:
-        groups.setdefault(tuple(v[:-1]), []).append(v[-1])
-    terms = []
-    for head, lasts in groups.items():
-        conds = [F.col(c).isNull() if x is None else (F.col(c) == F.lit(x))
-                 for c, x in zip(cols[:-1], head)]
-        non_null = [x for x in lasts if x is not None]
-        last = F.col(cols[-1]).isin(non_null) if non_null else F.lit(False)
-        if len(non_null) < len(lasts):
-            last = last | F.col(cols[-1]).isNull()
-        conds.append(last)
-        terms.append(reduce(lambda a, b: a & b, conds))
-    return reduce(lambda a, b: a | b, terms)
+NULL_KEY = "\u0000"  # the key of a NULL partition value
+
+
+def partition_key(cols: list[str]) -> Column:
+    """The partition values of a row as one string."""
+    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY)) for c in cols])
+
+
+def in_partitions(cols: list[str], keys: list[str]) -> Column:
+    """True for the rows of the partitions with these keys.
+
+    One flat set lookup on partition columns alone: the scan prunes folders with it, and its depth
+    does not grow with the number of partitions.
+    """
+    return partition_key(cols).isin(keys) if cols else F.lit(True)
 
 
 # --- crash-safe folder swap ------------------------------------------------------------------------
@@ -97,26 +93,35 @@ def recover(spark: SparkSession, table_path: str) -> int:
 
 
 def compact(spark: SparkSession, table: Table, min_input_files: int = MIN_INPUT_FILES,
-            sort: bool = False, skip_latest: str | None = None) -> dict[str, int]:
-    """Rewrite every partition of ``table`` holding ``>= min_input_files`` files.
+            sort: bool = False, skip_latest: str | None = None,
+            small_bytes: int = SMALL_FILE_BYTES) -> dict[str, int]:
+    """Rewrite every partition of ``table`` holding ``>= min_input_files`` files below ``small_bytes``.
+
+    A partition that has no more files than the session's ``maxRecordsPerFile`` asks for is left
+    alone, so a second run finds nothing to do.
 
     ``sort`` clusters rows by the table's ``cluster_by`` keys inside each partition (K7);
-    ``skip_latest`` names a column whose newest value is left alone (the stream's last batch,
-    which a restart may replay).
+    ``skip_latest`` names a partition column whose newest value under the columns before it is left
+    alone (the last batch of every stream tag, which a restart may replay).
     """
     recover(spark, table.path)
     if not table.exists(spark):
         return {"partitions": 0, "files_before": 0, "files_after": 0}
     parts = list(table.partition_by)
     stats = file_stats(spark, table)
-    per_part = stats.groupBy(*parts).agg(F.count(F.lit(1)).alias("files"),
+    per_part = stats.groupBy(*parts).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"),
+                                         F.count_if(F.col("file_size") < small_bytes).alias("small"),
                                          F.min("file_path").alias("sample_path"))
     if skip_latest:
-        per_part = per_part.where(F.col(skip_latest) < stats.agg(F.max(skip_latest)).scalar())
-    targets = per_part.where(F.col("files") >= min_input_files).collect()
+        newest = F.max(skip_latest).over(Window.partitionBy(*parts[:parts.index(skip_latest)]))
+        per_part = per_part.withColumn("newest", newest).where(F.col(skip_latest) < F.col("newest"))
+    most_rows = int(spark.conf.get("spark.sql.files.maxRecordsPerFile", "0"))
+    least_files = F.ceil(F.col("rows") / most_rows) if most_rows > 0 else F.lit(1)
+    targets = (per_part.where((F.col("small") >= min_input_files) & (F.col("files") > least_files))
+               .withColumn("key", partition_key(parts)).collect())
     if not targets:
         return {"partitions": 0, "files_before": 0, "files_after": 0}
-    pred = partition_predicate(parts, [tuple(r[c] for c in parts) for r in targets]) if parts else F.lit(True)
+    pred = in_partitions(parts, [r["key"] for r in targets])
     files_before = sum(r["files"] for r in targets)
     old_dirs = sorted({fs.relative_to(spark, table.path, r["sample_path"]) for r in targets})
     if parts and "" in old_dirs:

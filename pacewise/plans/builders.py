@@ -32,7 +32,7 @@ class BuildContext:
 def _checked(ctx: BuildContext, name: str, must_have_rows: bool = True) -> int:
     n = ctx.lake.count(name)
     if must_have_rows and n <= 0:
-        raise AssertionError(f"[{name}] no rows written; is the upstream table populated?")
+        raise AssertionError(f"{name} is empty after its build; look at the tables it reads")
     ctx.log(f"[{name}] wrote {n} rows")
     return n
 

@@ -69,6 +69,8 @@ def _side_effect_queries() -> dict[str, Query]:
         "forget_user_delivery": jobs.forgotten_table("delivery"),
         "forget_user_fill": jobs.forgotten_table("fill"),
         "forget_user_pacing": jobs.forgotten_table("pacing"),
+        "erasure_log": jobs.erasure_log,
+        "dim_campaign_landed": jobs.landed_campaigns,
         "tombstone_read": jobs.tombstone_read,
         "stream_bronze": jobs.streamed_bronze,
         "stream_fact_event": jobs.streamed_silver,

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pacewise.constants import MIN_INPUT_FILES
 from pacewise.operators import analyst, erase, layout
 from pacewise.operators.maintenance import compact
-from pacewise.operators.silver import fact_event
+from pacewise.operators.silver import dim_campaign, fact_event
 from pacewise.plans import builders
 from pacewise.schemas import BRONZE_SCHEMA
 from pacewise.session import fresh_dir
 from pacewise.sources import given
+from pacewise.sources.campaigns import land_campaign_snapshot, read_campaign_snapshot
 from pacewise.sources.tables import Lake, silver_table
 from pacewise.streaming import bronze as stream
 
@@ -55,6 +56,18 @@ def forgotten_table(name: str):
     return lambda spark, sf_dir: forgotten_lake(spark, sf_dir).read(name)
 
 
+def erasure_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rows of that erasure without their time."""
+    return forgotten_lake(spark, sf_dir).read("erasure_log").select("user_id", "tables")
+
+
+def landed_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension rebuilt from landed JSON snapshots."""
+    path = fresh_dir(spark, "campaigns")
+    land_campaign_snapshot(given.dim(spark, sf_dir), path)
+    return dim_campaign(read_campaign_snapshot(spark, path))
+
+
 def tombstone_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as readers see it after a deferred erasure of the top user."""
     def make() -> Lake:
@@ -77,12 +90,12 @@ def delete_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucketed.write(src)
     by_day.write(src)
     users = erase.validated_users(_top_user(src))
-    ids = erase.literal_ids(users)
-    cb = erase.erase(spark, bucketed, users, ids)
-    cu = erase.erase(spark, by_day, users, ids)
+    user_id = users.first()["user_id"]
+    cb = erase.erase(spark, bucketed, users)
+    cu = erase.erase(spark, by_day, users)
     if cb.rows_deleted != cu.rows_deleted:
-        raise AssertionError("bucketed and unbucketed copies deleted different row counts")
-    rows = [dict(c.report(), user_id=ids[0] if ids else None) for c in (cb, cu)]
+        raise AssertionError("one copy lost more rows than the other")
+    rows = [dict(c.report(), user_id=user_id) for c in (cb, cu)]
     out = spark.createDataFrame(rows)
     ratio = lambda a, b: float(a) / b if b else None
     return out.withColumn("rows_ratio_unbucketed_over_bucketed",

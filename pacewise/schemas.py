@@ -35,8 +35,6 @@ EVENT_FIELDS = (
 )
 EVENT_COLUMNS = [n for n, _ in EVENT_FIELDS]
 
-# Parse contract of the JSON payload (10 fields, all nullable).
-EVENT_SCHEMA = _struct(*EVENT_FIELDS)
 # On-disk contract of bronze: the 10 fields plus provenance.
 BRONZE_SCHEMA = _struct(*EVENT_FIELDS, ("kafka_ts", TS), ("ingest_ts", TS))
 SILVER_SCHEMA = _struct(*EVENT_FIELDS)

@@ -1,6 +1,6 @@
 """SparkSession construction and the shared working folder.
 
-Local runs use small shuffle counts; ``CLUSTER_CONF`` documents the settings meant for a
+Local runs use small shuffle counts; other masters get ``CLUSTER_CONF``, meant for a
 1000-executor cluster reading ~100 TB (AQE sizes the reducers at run time, so the static
 partition count is only an upper bound for coalescing).
 """
@@ -8,6 +8,7 @@ partition count is only an upper bound for coalescing).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,10 +62,20 @@ def get_session(master: str | None = None, app: str = "pacewise",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not is_local(spark):
+        submitted = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if k not in conf and not submitted.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM on one machine (``local``, ``local[n]``)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Day and hour boundaries are UTC; a caller's session may not be pinned yet."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -73,8 +84,8 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fresh scratch folder created and
-    registered as the checkpoint directory.
+    Only when a local session has none is a fresh scratch folder created and registered as the
+    checkpoint directory; on a cluster that is an error, as executors would not see the folder.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -87,6 +98,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current.isDefined():
             return str(current.get())
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("PACEWISE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(root)
     return root

@@ -11,12 +11,6 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def from_uri(spark: SparkSession, uri: str) -> str:
-    """A path string for a file URI as ``_metadata.file_path`` reports it (percent-decoded)."""
-    jvm = spark.sparkContext._jvm
-    return str(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
-
-
 def relative_to(spark: SparkSession, root: str, uri: str) -> str:
     """``uri``'s folder relative to the table folder ``root`` ('' when it is the root itself)."""
     jvm = spark.sparkContext._jvm

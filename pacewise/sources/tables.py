@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from pacewise.constants import BAD_LAYOUT_FILES, SORT_KEYS
 from pacewise.functions import user_bucket, utc_day
@@ -179,7 +179,3 @@ class Lake:
 
     def folder(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
-
-
-def struct_field(name: str, dtype) -> StructField:  # small convenience for callers
-    return StructField(name, dtype, True)

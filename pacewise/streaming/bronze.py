@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from pacewise.functions import utc_day
 from pacewise.schemas import BRONZE_SCHEMA, EVENT_COLUMNS, LAYOUT_COLUMNS, conform
+from pacewise.session import ensure_utc
 from pacewise.sources import fs
 from pacewise.sources.tables import Table
 
@@ -91,6 +92,7 @@ def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, t
     Batch ids restart at 0 when a checkpoint is lost, which would overwrite earlier batches of
     the same tag; so a missing checkpoint with existing data for ``tag`` is refused.
     """
+    ensure_utc(spark)  # instants become UTC wall clock in ``parse``
     if not fs.exists(spark, f"{checkpoint}/offsets") and fs.has_data_files(
             spark, f"{bronze.path}/stream_tag={tag}"):
         raise RuntimeError(f"checkpoint {checkpoint} missing but bronze already holds stream_tag={tag}; "

@@ -31,7 +31,7 @@ def test_erase_removes_emptied_partition_and_keeps_others(spark):
     table.write(silver_df(spark, rows))
     b_alone = _bucket(spark, "usr-alone")
     b_other = _bucket(spark, "usr-other")
-    cost = erase.erase(spark, table, _users(spark, "usr-alone"), ["usr-alone"])
+    cost = erase.erase(spark, table, _users(spark, "usr-alone"))
     assert cost.rows_deleted == 2
     assert not os.path.exists(f"{table.path}/event_date=2024-01-10/user_bucket={b_alone}".replace("file:", ""))
     left = sorted(r["event_id"] for r in table.read(spark).collect())
@@ -47,7 +47,7 @@ def test_erase_with_a_joined_id_table(spark):
     table = silver_table(fresh_dir(spark, "t-erase-join") + "/fact_event")
     table.write(silver_df(spark, rows))
     users = _users(spark, "usr-00001", "usr-00002")
-    cost = erase.erase(spark, table, users, ids=None)   # table path, not literals
+    cost = erase.erase(spark, table, users)
     assert cost.rows_deleted == sum(1 for i in range(200) if i % 7 in (1, 2))
     assert table.read(spark).where(F.col("user_id").isin("usr-00001", "usr-00002")).count() == 0
     assert table.read(spark).count() == 200 - cost.rows_deleted
@@ -120,7 +120,7 @@ def test_erase_on_an_unpartitioned_table(spark):
             for i in range(40)]
     table = flat_table(fresh_dir(spark, "t-flat") + "/events", name="flat")
     silver_df(spark, rows).repartition(3).write.parquet(table.path)
-    cost = erase.erase(spark, table, _users(spark, "usr-00002"), ["usr-00002"])
+    cost = erase.erase(spark, table, _users(spark, "usr-00002"))
     assert cost.rows_deleted == 10 and cost.rows_rewritten == 40
     assert sorted({r["user_id"] for r in table.read(spark).collect()}) == ["usr-00000", "usr-00001", "usr-00003"]
     assert table.read(spark).count() == 30

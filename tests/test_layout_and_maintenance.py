@@ -33,7 +33,7 @@ def test_user_filter_prunes_to_one_bucket(spark, study):
     assert "user_bucket" in part_filters      # the bucket literal became a static partition filter
     bad_m = layout.scan_metrics(layout.user_filtered_scan(study.bad.read(spark), uid))
     opt_m = layout.scan_metrics(q)
-    assert 0 < opt_m["bytes_read"] < bad_m["bytes_read"] / 5
+    assert 0 < opt_m["file_bytes"] < bad_m["file_bytes"] / 5
     assert opt_m["files_read"] <= 30
 
 
