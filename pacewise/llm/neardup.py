@@ -7,12 +7,15 @@ order-preserving alignment of their shingles matches ``c`` of ``n`` and ``m`` wi
 1 minus that ratio is a metric, the distance below.
 
 Work is bounded in the size of groups of copies. Texts of equal words are one class before any bucket
-is built. In a bucket all members are aligned with its hub only. A member within 0.2 of the hub is
-linked; one beyond 0.4 can't be near any linked member (triangle inequality); for those between,
-exactly the linked members that may be near them stay for the next round, which takes the next hubs
-of the bucket, four times as many each round, and compares different classes only. So no link
-inside a bucket is lost, and n near copies of one original cost about n alignments; only copies that
-are neither near their original nor far from it are compared with each other. Classes are the
+is built. First, all members of a bucket are aligned with its hub only, the member that meets most
+others: n near copies of one original cost n alignments. A member within 0.2 of the hub is linked; one
+beyond 0.4 can't be near any linked member (triangle inequality). What that leaves open is decided
+on the shingles themselves. Order a text's labelled shingles with those the hub lacks first. Near texts
+share one among the first n - 0.8 n + 1, at places i and j with min(n - i, m - j) >= c for the c of
+similarity 0.8, or they couldn't match c. So texts of one hub that share such a shingle form smaller
+buckets; their members are compared with the bucket's own hub, then those of still different classes with
+each other where the places allow it. Copies edited each in its own way fall apart there, as their own
+edits come first, so they cost no alignment; no link inside a bucket is lost. Classes are the
 connected components of the links, found by alternating large-star and small-star steps.
 
 Two documents at similarity 0.8 agree in one of 32 sketches with probability 1 - (1 - 0.8**6)**32, over
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,58 +206,85 @@ def _sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                                               T.StructField("keys", T.ArrayType(T.LongType()))]))
 
 
-def _distances(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(hub, doc) -> (hub, doc, d): both texts are joined in, which AQE can split for a hot hub."""
+def rare_first(h: np.ndarray, hub: np.ndarray) -> np.ndarray:
+    """The labelled shingles ``h`` of which any text near this one holds one, those outside ``hub`` first."""
+    least = int(np.ceil(SIMILAR * len(h) - _EPS))
+    return h[np.lexsort((h, np.isin(h, hub)))][: len(h) - least + 1]
+
+
+def _compared(pairs: DataFrame, bodies: DataFrame, rare: bool = False) -> DataFrame:
+    """(hub, doc) -> (hub, doc, n, d), with ``rare`` also the first shingles of ``rare_first``.
+
+    Both texts are joined in, which AQE can split for a hot hub.
+    """
     both = pairs.join(bodies.select(F.col("doc").alias("hub"), F.col("text").alias("a")), "hub")
     both = both.join(bodies.select("doc", F.col("text").alias("b")), "doc").select("hub", "doc", "a", "b")
+    names = ["hub", "doc", "n", "d"] + ["rare"] * rare
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last = _Hashes(), (None, [])
+        known, last = _Hashes(), (None, np.zeros(0, np.uint64), np.zeros(0, np.uint64))
         for batch in batches:
             for piece in pieces(batch, "b"):
-                out = []
+                sizes, out, first = [], [], []
                 for a, b in zip(texts(piece, "a"), texts(piece, "b"), strict=True):
                     if last[0] != a:
-                        last = (a, shingle_hashes(a.encode("utf-8", "surrogatepass").split(), known).tolist())
-                    out.append(distance(last[1], shingle_hashes(b.encode("utf-8", "surrogatepass").split(), known).tolist()))
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(out, pa.float64())], ["hub", "doc", "d"])
-
-    return both.mapInArrow(run, T.StructType([both.schema["hub"], both.schema["doc"], T.StructField("d", T.DoubleType())]))
-
-
-def _links(rows: DataFrame, bodies: DataFrame) -> DataFrame | None:
-    """(doc, hub) pairs of near-duplicates for bucket rows (key, doc, n); see the module's text.
-
-    Hubs are the members that meet most others over all buckets: the original of a group of edited
-    copies, where it is there. Pairs of one class so far are not compared again.
-    """
-    met_others = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
-    order = met_others.groupBy("doc").agg(F.struct((-F.sum("size")).alias("met"), F.col("doc").alias("id")).alias("order"))
-    rows = rows.join(order, "doc").withColumn("root", F.col("doc")).checkpoint()
-    links, hubs_each = None, 1
-    while not rows.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("order"))
-        hubs = rows.withColumn("r", rank).where(F.col("r") <= hubs_each).select(
-            "key", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("order").alias("hub_order"), F.col("root").alias("hub_root"))
-        met = rows.join(hubs, "key").where("order > hub_order and root <> hub_root")
-        met = met.select("key", "hub", "doc", "n", "hub_n").checkpoint()
-        close = met.where(F.least("n", "hub_n") >= (1 - FAR) * F.greatest("n", "hub_n") - _EPS).select("hub", "doc").distinct()
-        known = _distances(close, bodies).where(F.col("d") <= FAR + _EPS).checkpoint()
-        new = known.where(F.col("d") <= NEAR + _EPS).select("doc", "hub")
-        links = new if links is None else links.unionByName(new)
+                        h = shingle_hashes(a.encode("utf-8", "surrogatepass").split(), known)
+                        last = (a, h, labelled(h))
+                    h = shingle_hashes(b.encode("utf-8", "surrogatepass").split(), known)
+                    sizes.append(len(h))
+                    out.append(distance(last[1].tolist(), h.tolist()))
+                    if rare:
+                        first.append(rare_first(labelled(h), last[2]).view(np.int64))
+                columns = [piece.column(0), piece.column(1), pa.array(sizes, pa.int32()), pa.array(out, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(first, pa.list_(pa.int64()))] * rare, names)
+
+    fields = [both.schema["hub"], both.schema["doc"], T.StructField("n", T.IntegerType()), T.StructField("d", T.DoubleType())]
+    return both.mapInArrow(run, T.StructType(fields + [T.StructField("rare", T.ArrayType(T.LongType()))] * rare))
+
+
+def _may_be_near(x: str, y: str) -> Column:
+    """Whether rows x and y (n, i), which share a shingle at places i, can match enough from there on."""
+    left = F.least(F.col(f"{x}.n") - F.col(f"{x}.i"), F.col(f"{y}.n") - F.col(f"{y}.i"))
+    return left >= SIMILAR / (1 + SIMILAR) * (F.col(f"{x}.n") + F.col(f"{y}.n")) - _EPS
+
+
+def _roots(rows: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(doc, root) of all linked documents for bucket rows (key, doc); see the module's text."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    order = rows.join(sizes, "key").groupBy("doc").agg((-F.sum("size")).alias("met")).checkpoint()
+    rows = rows.join(order, "doc")
+    hubs = rows.groupBy("key").agg(F.min(F.struct("met", "doc"))["doc"].alias("hub"))
+    pairs = rows.join(hubs, "key").where("doc <> hub").select("hub", "doc").distinct()
+    known = _compared(pairs, bodies, rare=True).checkpoint()
+    links = known.where(F.col("d") <= NEAR + _EPS).select("doc", "hub")
+    roots = components(links)
+
+    # members that are near the hub and too far from any member of another class need no more
+    told = _rooted(_rooted(known, roots, "doc", "root"), roots, "hub", "hub_root")
+    other = told.where(F.col("root") != F.col("hub_root")).groupBy("hub").agg(F.min("d").alias("grey"))
+    open_ = told.join(other, "hub").where((F.col("d") > NEAR + _EPS) | (F.col("d") >= F.col("grey") - NEAR - _EPS))
+    parts = open_.select("hub", "doc", "n", "root", F.posexplode("rare").alias("i", "shingle")).checkpoint()
+    several = parts.groupBy("hub", "shingle").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("hub", "shingle")
+    parts = parts.join(several, ["hub", "shingle"], "left_semi").join(order, "doc").checkpoint()
+    if parts.isEmpty():
+        return roots
+
+    mids = parts.groupBy("hub", "shingle").agg(F.min(F.struct("met", "doc", "n", "i", "root")).alias("mid")).select("hub", "shingle", "mid.*")
+    x, y = mids.alias("x"), parts.alias("y")
+    apart = F.col("x.root") != F.col("y.root")
+    same = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & apart & _may_be_near("x", "y")
+    tried = x.join(y, same).select(F.least("x.doc", "y.doc").alias("hub"), F.greatest("x.doc", "y.doc").alias("doc")).distinct()
+    tried = _compared(tried, bodies).checkpoint()
+    found = tried.where(F.col("d") <= NEAR + _EPS).select("doc", "hub")
+    if not found.isEmpty():
+        links = links.unionByName(found)
         roots = components(links)
-        told = met.select("key", "hub", "doc").join(known, ["hub", "doc"])
-        told = _rooted(_rooted(told, roots, "doc", "root"), roots, "hub", "hub_root")
-        # the nearest member of another class that is neither near the hub nor far from it
-        border = told.where((F.col("d") > NEAR + _EPS) & (F.col("root") != F.col("hub_root"))).groupBy("key", "hub").agg(F.min("d").alias("grey"))
-        settled = (told.where(F.col("d") <= NEAR + _EPS).join(border, ["key", "hub"], "left")
-                   .where(F.col("grey").isNull() | (F.col("d") < F.col("grey") - NEAR - _EPS)).select("key", "doc"))
-        done = settled.unionByName(hubs.select("key", F.col("hub").alias("doc")))
-        left = _rooted(rows.drop("root").join(done, ["key", "doc"], "left_anti"), roots, "doc", "root")
-        several = left.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-        rows = left.join(several, "key", "left_semi").checkpoint()
-        hubs_each *= 4
-    return links
+    x = _rooted(parts.drop("root"), roots, "doc", "root")
+    x, y = x.alias("x"), x.alias("y")
+    rest = x.join(y, same & (F.col("x.doc") < F.col("y.doc"))).select(F.col("x.doc").alias("hub"), F.col("y.doc").alias("doc")).distinct()
+    rest = rest.join(tried.select("hub", "doc"), ["hub", "doc"], "left_anti")
+    found = _compared(rest, bodies).where(F.col("d") <= NEAR + _EPS).select("doc", "hub").checkpoint()
+    return roots if found.isEmpty() else components(links.unionByName(found))
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
@@ -272,8 +302,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(doc, root): smallest member of the connected component of every node of ``edges`` (doc, hub)."""
     edges = edges.select(F.greatest("doc", "hub").alias("u"), F.least("doc", "hub").alias("v")).where("u > v").distinct().checkpoint()
-    before = None
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: larger neighbours point to the smallest one
@@ -282,10 +311,13 @@ def components(edges: DataFrame) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         edges = (edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct().checkpoint())
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("doc"), F.col("v").alias("root"))
-        before = now
+    return edges.select(F.col("u").alias("doc"), F.col("v").alias("root"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (u, v) belongs to one root v only."""
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("root"))
+    return ends.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").isEmpty()
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,17 +330,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     checkpoint_root(df.sparkSession)
     docs = without(df, *[c for c in df.columns if c not in (doc_id, text)])
     rows = _sketched(docs, doc_id, text).checkpoint()
-    classes = rows.where("body is not null").groupBy("body").agg(
-        F.min("doc").alias("rep"), F.min_by("n", "doc").alias("n"))
+    classes = rows.where("body is not null").groupBy("body").agg(F.min("doc").alias("rep"))
     chosen = rows.join(classes.where("rep is not null").select("body", F.col("rep").alias("doc")), ["body", "doc"], "left_semi")
-    shared = _shared(chosen.select(F.explode("keys").alias("key"), "doc", "n").distinct()).checkpoint()
+    shared = _shared(chosen.select(F.explode("keys").alias("key"), "doc").distinct()).checkpoint()
     wanted = shared.select("doc").distinct()
     bodies = (docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("text is not null")
               .join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).checkpoint())
-    links = _links(shared, bodies)
-    named = classes.select("body", "rep")
-    if links is not None:
-        roots = components(links)
-        named = named.join(roots.select(F.col("doc").alias("rep"), "root"), "rep", "left").select("body", F.coalesce("root", "rep").alias("rep"))
+    roots = _roots(shared, bodies)
+    named = classes.select("body", "rep").join(roots.select(F.col("doc").alias("rep"), "root"), "rep", "left")
+    named = named.select("body", F.coalesce("root", "rep").alias("rep"))
     return rows.select("doc", "body").join(named, "body", "left").select(
         F.col("doc").alias(doc_id), F.when(F.col("body").isNull(), F.col("doc")).otherwise(F.col("rep")).alias("class_id"))
