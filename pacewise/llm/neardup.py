@@ -12,7 +12,7 @@ others: n near copies of one original cost n alignments. A member within 0.2 of
 beyond 0.4 can't be near any linked member (triangle inequality). What that leaves open is decided
 on the shingles themselves. Order a text's labelled shingles with those the hub lacks first. Near texts
 share one among the first n - 0.8 n + 1, at places i and j with min(n - i, m - j) >= c for the c of
-similarity 0.8, or they couldn't match c. So texts of one hub that share such a shingle form smaller
+similarity 0.8, or they couldn't match c, and enough of those first ones (bounded by bit sets). So texts of one hub that share such a shingle form smaller
 buckets; their members are compared with the bucket's own hub, then those of still different classes with
 each other where the places allow it. Copies edited each in its own way fall apart there, as their own
 edits come first, so they cost no alignment; no link inside a bucket is lost. Classes are the
@@ -47,6 +47,7 @@ NEAR = 1 - SIMILAR
 FAR = 2 * NEAR
 _EPS = 1e-9
 _WORD_CACHE = 400_000
+BIT_WORDS = 8                        # of 64 bits, in a bound that texts of any length pass through
 _MASK = (1 << 64) - 1
 
 
@@ -212,20 +213,27 @@ def rare_first(h: np.ndarray, hub: np.ndarray) -> np.ndarray:
     return h[np.lexsort((h, np.isin(h, hub)))][: len(h) - least + 1]
 
 
+def bit_set(h: np.ndarray) -> np.ndarray:
+    """Words with a bit for every hash; each bit that two of them differ in is a hash only one has."""
+    out = np.zeros(BIT_WORDS, np.uint64)
+    np.bitwise_or.at(out, ((h >> np.uint64(6)) % np.uint64(BIT_WORDS)).astype(np.intp), np.uint64(1) << (h & np.uint64(63)))
+    return out
+
+
 def _compared(pairs: DataFrame, bodies: DataFrame, rare: bool = False) -> DataFrame:
-    """(hub, doc) -> (hub, doc, n, d), with ``rare`` also the first shingles of ``rare_first``.
+    """(hub, doc) -> (hub, doc, n, d), with ``rare`` also the first shingles of ``rare_first`` and their bits.
 
     Both texts are joined in, which AQE can split for a hot hub.
     """
     both = pairs.join(bodies.select(F.col("doc").alias("hub"), F.col("text").alias("a")), "hub")
     both = both.join(bodies.select("doc", F.col("text").alias("b")), "doc").select("hub", "doc", "a", "b")
-    names = ["hub", "doc", "n", "d"] + ["rare"] * rare
+    names = ["hub", "doc", "n", "d", *(["rare", "bits", "all_bits"] if rare else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last = _Hashes(), (None, np.zeros(0, np.uint64), np.zeros(0, np.uint64))
         for batch in batches:
             for piece in pieces(batch, "b"):
-                sizes, out, first = [], [], []
+                sizes, out, first, bits, whole = [], [], [], [], []
                 for a, b in zip(texts(piece, "a"), texts(piece, "b"), strict=True):
                     if last[0] != a:
                         h = shingle_hashes(a.encode("utf-8", "surrogatepass").split(), known)
@@ -234,18 +242,35 @@ def _compared(pairs: DataFrame, bodies: DataFrame, rare: bool = False) -> DataFr
                     sizes.append(len(h))
                     out.append(distance(last[1].tolist(), h.tolist()))
                     if rare:
-                        first.append(rare_first(labelled(h), last[2]).view(np.int64))
+                        h = labelled(h)
+                        part = rare_first(h, last[2])
+                        first.append(part.view(np.int64))
+                        bits.append(bit_set(part).view(np.int64))
+                        whole.append(bit_set(h).view(np.int64))
                 columns = [piece.column(0), piece.column(1), pa.array(sizes, pa.int32()), pa.array(out, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(first, pa.list_(pa.int64()))] * rare, names)
+                if rare:
+                    columns += [pa.array(x, pa.list_(pa.int64())) for x in (first, bits, whole)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     fields = [both.schema["hub"], both.schema["doc"], T.StructField("n", T.IntegerType()), T.StructField("d", T.DoubleType())]
-    return both.mapInArrow(run, T.StructType(fields + [T.StructField("rare", T.ArrayType(T.LongType()))] * rare))
+    return both.mapInArrow(run, T.StructType(fields + [T.StructField(c, T.ArrayType(T.LongType())) for c in names[4:]]))
 
 
 def _may_be_near(x: str, y: str) -> Column:
-    """Whether rows x and y (n, i), which share a shingle at places i, can match enough from there on."""
-    left = F.least(F.col(f"{x}.n") - F.col(f"{x}.i"), F.col(f"{y}.n") - F.col(f"{y}.i"))
-    return left >= SIMILAR / (1 + SIMILAR) * (F.col(f"{x}.n") + F.col(f"{y}.n")) - _EPS
+    """Whether rows x and y (n, i, first, bits, all_bits), which share a shingle at places i, can match enough.
+
+    Three bounds on what they share: all of it lies from those places on; at most half of (both sizes less
+    the bits that differ) is shared; and the longer rest at most is shared outside the ``first`` shingles of both.
+    """
+    need = SIMILAR / (1 + SIMILAR) * (F.col(f"{x}.n") + F.col(f"{y}.n")) - _EPS
+    after = F.least(F.col(f"{x}.n") - F.col(f"{x}.i"), F.col(f"{y}.n") - F.col(f"{y}.i"))
+    rest = F.greatest(F.col(f"{x}.n") - F.col(f"{x}.first"), F.col(f"{y}.n") - F.col(f"{y}.first"))
+
+    def shared(size: str, bits: str) -> Column:
+        differ = sum((F.bit_count(F.col(f"{x}.{bits}")[k].bitwiseXOR(F.col(f"{y}.{bits}")[k])) for k in range(BIT_WORDS)), F.lit(0))
+        return (F.col(f"{x}.{size}") + F.col(f"{y}.{size}") - differ) / 2
+
+    return (after >= need) & (shared("n", "all_bits") >= need) & (rest + shared("first", "bits") >= need)
 
 
 def _roots(rows: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -263,13 +288,14 @@ def _roots(rows: DataFrame, bodies: DataFrame) -> DataFrame:
     told = _rooted(_rooted(known, roots, "doc", "root"), roots, "hub", "hub_root")
     other = told.where(F.col("root") != F.col("hub_root")).groupBy("hub").agg(F.min("d").alias("grey"))
     open_ = told.join(other, "hub").where((F.col("d") > NEAR + _EPS) | (F.col("d") >= F.col("grey") - NEAR - _EPS))
-    parts = open_.select("hub", "doc", "n", "root", F.posexplode("rare").alias("i", "shingle")).checkpoint()
+    open_ = open_.join(order, "doc").select("hub", "doc", "n", "root", "met", F.size("rare").alias("first"), "rare", "bits", "all_bits").checkpoint()
+    parts = open_.select("hub", "doc", "root", F.posexplode("rare").alias("i", "shingle"))
     several = parts.groupBy("hub", "shingle").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("hub", "shingle")
-    parts = parts.join(several, ["hub", "shingle"], "left_semi").join(order, "doc").checkpoint()
+    parts = parts.drop("root").join(several, ["hub", "shingle"], "left_semi").join(open_.drop("rare"), ["hub", "doc"]).checkpoint()
     if parts.isEmpty():
         return roots
 
-    mids = parts.groupBy("hub", "shingle").agg(F.min(F.struct("met", "doc", "n", "i", "root")).alias("mid")).select("hub", "shingle", "mid.*")
+    mids = parts.groupBy("hub", "shingle").agg(F.min(F.struct("met", "doc", "n", "i", "root", "first", "bits", "all_bits")).alias("mid")).select("hub", "shingle", "mid.*")
     x, y = mids.alias("x"), parts.alias("y")
     apart = F.col("x.root") != F.col("y.root")
     same = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & apart & _may_be_near("x", "y")
