@@ -1,8 +1,10 @@
 """Op 7: main text of web pages from parser events and smoothed text-to-tag ratios.
 
 A streaming parser turns a page into lines, one for each block, with their text, number of tags and
-link text; elements that hold no article by their tag, role or class (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts, styles) are left out on the way. Each line's
+link text; elements that hold no article by their tag (menus, headers, footers, forms, scripts, styles) are left out on
+the way. Elements that a whole class, id or role names as clutter (sidebars, notices, adverts, comments) are
+left out too, but not headings or, other than adverts and comments, paragraphs; nor, other than adverts and
+comments, an element that holds more content than all that lies outside such elements. Each line's
 text-to-tag ratio is smoothed with a Gaussian over its neighbours, and a two-means threshold parts
 content from clutter. The region is the article or main element with the most content, or else the
 deepest element that holds most of it; all its remaining blocks are kept, short ones too.
@@ -42,7 +44,18 @@ CLUTTER_WORDS = frozenset(
     "related recommended recommendations share sharing social comment comments disqus respond responses replies nav navbar "
     "navigation menu menus breadcrumb breadcrumbs pagination pager footer header masthead topbar toolbar login search skip "
     "complementary contentinfo dialog form".split())
+# Of these, words for what others wrote or pay for; such an element goes however long it is.
+FOREIGN_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr comments disqus respond replies".split())
+ADMONITIONS = frozenset("notice notices alert".split())  # clutter of a page, but text inside an article
+# Words that a name of clutter may hold besides, those of the text itself, and tags that are text, not boxes of it.
+OWN_WORDS = frozenset("article content entry main page post story".split())
+NEUTRAL_WORDS = OWN_WORDS | frozenset(
+    "area articles bar block blocks bottom box button buttons container global group holder icon icons inner item items left "
+    "link links list media module news outer panel posts primary reader right secondary section site slot stories text title "
+    "top unit user wrap wrapper zone".split())
+TEXT_TAGS = frozenset("p pre blockquote dt dd figcaption".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+HIT, FOREIGN = 1, 2
 
 SIGMA = 1.0      # of the Gaussian, in lines
 HOLDS = 0.8      # share of the content that a region holds where the page names no article
@@ -52,6 +65,7 @@ class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parents, self.tags = [-1], [""]              # of each element; element 0 is the page
+        self.hits = [0]                                   # of each element: HIT or FOREIGN if its names say clutter
         self.stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element, left out
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, link characters, element
         self.parts: list[str] = []
@@ -72,15 +86,34 @@ class _Page(HTMLParser):
         if tag in CLUTTER:
             return True
         if tag == "header":
-            return not any(t in ARTICLES for t, _, _ in self.stack)
+            return not self.inside()
         if tag in ("html", "body", *ARTICLES):
             return False
+        return any(name == "hidden" or name == "aria-hidden" and value == "true" for name, value in attrs)
+
+    def inside(self) -> bool:
+        return any(t in ARTICLES for t, _, _ in self.stack)
+
+    def named(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
+        """HIT or FOREIGN if a whole class, id or role names clutter; a word of it alone ('has-sidebar') says nothing."""
+        if tag in ("html", "body", *ARTICLES, *HEADINGS):
+            return 0
+        found = 0
         for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name in ("class", "id", "role") and value and any(w.lower() in CLUTTER_WORDS for w in _WORDS.findall(value)):
-                return True
-        return False
+            if name not in ("class", "id", "role") or not value:
+                continue
+            split = [{w.lower() for w in _WORDS.findall(token)} for token in value.split()]
+            wrapper = any(words and words <= OWN_WORDS for words in split)
+            for words in split:
+                hit = words & CLUTTER_WORDS
+                rest = {w for w in words - hit if len(w) > 1 and not w.isdigit()}
+                if not hit or not rest <= NEUTRAL_WORDS or hit == {"header"} and rest & OWN_WORDS:
+                    continue
+                if hit & FOREIGN_WORDS:
+                    found = max(found, HIT if wrapper else FOREIGN)
+                elif not (hit <= ADMONITIONS and self.inside() or name == "id" and tag == "section"):
+                    found = max(found, HIT)
+        return found if found == FOREIGN or tag not in TEXT_TAGS and tag not in INLINE else 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.n_tags += 1
@@ -92,7 +125,7 @@ class _Page(HTMLParser):
             return
         if tag in INLINE:
             self.links += tag == "a"
-            if self.clutter(tag, attrs):
+            if self.clutter(tag, attrs) or self.named(tag, attrs) == FOREIGN:
                 self.stack.append((tag, self.stack[-1][1], True))
             return
         self.links = 0
@@ -112,6 +145,7 @@ class _Page(HTMLParser):
         out = self.stack[-1][2] or self.clutter(tag, attrs)
         self.parents.append(self.stack[-1][1])
         self.tags.append(tag)
+        self.hits.append(0 if out else self.named(tag, attrs))
         self.stack.append((tag, len(self.parents) - 1, out))
 
     def handle_endtag(self, tag: str) -> None:
@@ -157,6 +191,52 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     return np.ones(len(values), bool)
 
 
+def _ways(page: _Page) -> list[list[int]]:
+    """The elements around each line, innermost first, the page last."""
+    ways = []
+    for _, _, _, element in page.lines:
+        way = [element]
+        while way[-1]:
+            way.append(page.parents[way[-1]])
+        ways.append(way)
+    return ways
+
+
+def _named_out(page: _Page, way: list[int], least: int) -> bool:
+    """Whether an element around a line, up to its article, is at least so clearly clutter by its names."""
+    for e in way:
+        if page.hits[e] >= least:
+            return True
+        if page.tags[e] in ARTICLES:
+            return False
+    return False
+
+
+def _chosen(page: _Page, ways: list[list[int]], size: np.ndarray, least: int) -> np.ndarray:
+    """The lines in the upper cluster of all that no name leaves out."""
+    at = [k for k, way in enumerate(ways) if not _named_out(page, way, least)]
+    out = np.zeros(len(ways), bool)
+    if at:
+        out[at] = content_lines(size[at] / np.maximum(1, [page.lines[k][1] for k in at]))
+    return out
+
+
+def _spare(page: _Page, ways: list[list[int]], size: np.ndarray) -> None:
+    """Takes the HIT from elements that hold more content than lies outside all of them: wrappers, whatever their name."""
+    held: dict[int, float] = {}
+    free = 0.0
+    for way, n, yes in zip(ways, size, _chosen(page, ways, size, FOREIGN), strict=True):
+        hits = [e for e in way if page.hits[e]]
+        if yes and not hits:
+            free += n
+        elif yes and all(page.hits[e] < FOREIGN for e in hits):
+            for e in hits:
+                held[e] = held.get(e, 0) + n
+    for e, n in held.items():
+        if n > free:
+            page.hits[e] = 0
+
+
 def main_text(html: str) -> str:
     page = _Page()
     page.feed(html)
@@ -165,26 +245,28 @@ def main_text(html: str) -> str:
     if not page.lines:
         return ""
     size = np.array([len(x[0]) for x in page.lines], float)
-    chosen = content_lines(size / np.maximum(1, [x[1] for x in page.lines]))
+    above = _ways(page)
+    if any(page.hits):
+        _spare(page, above, size)
+    chosen = _chosen(page, above, size, HIT)
     weight: dict[int, float] = {}
-    above: list[list[int]] = []
-    for (_, _, _, element), n, yes in zip(page.lines, size, chosen, strict=True):
-        way = [element]
-        while way[-1]:
-            way.append(page.parents[way[-1]])
-        above.append(way)
+    for way, n, yes in zip(above, size, chosen, strict=True):
         if yes:
             for e in way:
+                if page.hits[e]:
+                    break  # clutter is no content of what is around it
                 weight[e] = weight.get(e, 0) + n
+    if not weight:
+        return ""
     named = [e for e in weight if page.tags[e] in ARTICLES]
     if named:  # the heaviest; of nested ones of a weight the innermost
         region, loose = max(named, key=lambda e: (weight[e], e)), False
     else:
-        region, loose = max(e for e in weight if weight[e] >= HOLDS * weight[0]), True
+        region, loose = max(e for e in weight if weight[e] >= HOLDS * weight.get(0, 0)), True
         while region and page.tags[region] not in ("div", "section", "td", "body"):
             region = page.parents[region]
     kept = [text for (text, _, links, _), way in zip(page.lines, above, strict=True)
-            if region in way and not (loose and 2 * links > len(text))]
+            if region in way and not any(page.hits[e] for e in way[: way.index(region)]) and not (loose and 2 * links > len(text))]
     return " ".join(kept)
 
 

@@ -32,6 +32,20 @@ def test_inside_the_article():
     assert html_extract.main_text("<article><p><b>one<br><p>two  \n three</article>") == "one two three"
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "with-nav story", "layout sidebar", "sidebar-right", "header", "search", "post comments"])
+def test_wrappers_with_words_of_clutter(name):
+    for attr in ("class", "id"):
+        page = f"<body><nav><a href=x>Home</a></nav><div {attr}='{name}'><div>{BODY}</div><div class='sidebar'>Other text</div></div><footer>x</footer></body>"
+        assert html_extract.main_text(page) == TEXT
+
+
+def test_text_named_by_words_of_clutter():
+    page = ("<article><h2 id='search-results'>Search results</h2><section id='related-work'><h3>Related work</h3><p>Others did this.</p></section>"
+            "<section id='search'><p>How to search.</p></section><p class='notice'>Note this.</p><div class='notice'>And <span class='header'>this</span>.</div>"
+            f"<div class='entry-header'>Intro</div>{BODY}<div class='related-posts'><p>More posts</p></div><section class='comments'><p>No</p></section></article>")
+    assert html_extract.main_text(page) == "Search results Related work Others did this. How to search. Note this. And this. Intro " + TEXT
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<html></html>", "<nav>a</nav>", "<p", "<![CDATA[x]]>", "<!DOCTYPE html>", "</div></p>", "<script>x"])
 def test_pages_without_text(page):
     assert html_extract.main_text(page) in ("", "<p")
