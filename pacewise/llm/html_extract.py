@@ -6,8 +6,10 @@ the way. Elements that a whole class, id or role names as clutter (sidebars, not
 left out too, but not headings or, other than adverts and comments, paragraphs; nor, other than adverts and
 comments, an element that holds more content than all that lies outside such elements. Each line's
 text-to-tag ratio is smoothed with a Gaussian over its neighbours, and a two-means threshold parts
-content from clutter. The region is the article or main element with the most content, or else the
-deepest element that holds most of it; all its remaining blocks are kept, short ones too.
+content from clutter; longer prose (``PROSE``) is content on either side of it. The region is the article or main
+element with the most content and all other articles beside it or with content of their own, or where the page
+names none the deepest element that holds all content. All remaining blocks of the region are kept, short ones too;
+only blocks that are mostly links and no content go, and in the heaviest article they stay as well.
 
 Rows are independent: a narrow Arrow map, bounded by one page.
 """
@@ -58,7 +60,8 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 HIT, FOREIGN = 1, 2
 
 SIGMA = 1.0      # of the Gaussian, in lines
-HOLDS = 0.8      # share of the content that a region holds where the page names no article
+LIFTED = 0.25    # share of the upper cluster's mean ratio under which a line of mostly links isn't in it
+PROSE = 40       # characters of a line that is content without the upper cluster, if it is not mostly links
 
 
 class _Page(HTMLParser):
@@ -66,6 +69,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parents, self.tags = [-1], [""]              # of each element; element 0 is the page
         self.hits = [0]                                   # of each element: HIT or FOREIGN if its names say clutter
+        self.doubtful: set[int] = set()                   # articles whose names say clutter
         self.stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element, left out
         self.lines: list[tuple[str, int, int, int]] = []  # text, tags, link characters, element
         self.parts: list[str] = []
@@ -96,7 +100,7 @@ class _Page(HTMLParser):
 
     def named(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         """HIT or FOREIGN if a whole class, id or role names clutter; a word of it alone ('has-sidebar') says nothing."""
-        if tag in ("html", "body", *ARTICLES, *HEADINGS):
+        if tag in ("html", "body", *HEADINGS):
             return 0
         found = 0
         for name, value in attrs:
@@ -145,7 +149,10 @@ class _Page(HTMLParser):
         out = self.stack[-1][2] or self.clutter(tag, attrs)
         self.parents.append(self.stack[-1][1])
         self.tags.append(tag)
-        self.hits.append(0 if out else self.named(tag, attrs))
+        hit = 0 if out else self.named(tag, attrs)
+        if hit and tag in ARTICLES:
+            self.doubtful.add(len(self.parents) - 1)
+        self.hits.append(0 if tag in ARTICLES else hit)
         self.stack.append((tag, len(self.parents) - 1, out))
 
     def handle_endtag(self, tag: str) -> None:
@@ -213,11 +220,15 @@ def _named_out(page: _Page, way: list[int], least: int) -> bool:
 
 
 def _chosen(page: _Page, ways: list[list[int]], size: np.ndarray, least: int) -> np.ndarray:
-    """The lines in the upper cluster of all that no name leaves out."""
+    """The content lines, those of the upper cluster and of prose, of all that no name leaves out."""
     at = [k for k, way in enumerate(ways) if not _named_out(page, way, least)]
     out = np.zeros(len(ways), bool)
     if at:
-        out[at] = content_lines(size[at] / np.maximum(1, [page.lines[k][1] for k in at]))
+        ratios = size[at] / np.maximum(1, [page.lines[k][1] for k in at])
+        linked = 2 * np.array([page.lines[k][2] for k in at]) > size[at]
+        upper = content_lines(ratios)
+        lifted = linked & (ratios < LIFTED * ratios[upper].mean())  # a menu beside long prose, by the smoothing alone
+        out[at] = upper & ~lifted | (size[at] >= PROSE) & ~linked
     return out
 
 
@@ -237,6 +248,32 @@ def _spare(page: _Page, ways: list[list[int]], size: np.ndarray) -> None:
             page.hits[e] = 0
 
 
+def _articles(page: _Page, weight: dict[int, float]) -> list[int]:
+    """The article or main element with the most content, of nested ones of a weight the innermost, and then all
+    others apart from it that hold content or stand beside it, but none in or named as clutter."""
+    apart = [False]  # whether an element is inside clutter
+    for e in range(1, len(page.parents)):
+        apart.append(apart[page.parents[e]] or bool(page.hits[e]) or e in page.doubtful)
+    found = sorted((e for e in weight if page.tags[e] in ARTICLES), key=lambda e: (apart[e], -weight[e], -e))
+    if not found:
+        return []
+    first = found[0]
+    beside = [e for e, tag in enumerate(page.tags) if tag in ARTICLES and page.parents[e] == page.parents[first]]
+    if apart[first]:  # unclosed clutter around all articles
+        others = [e for e in beside if e not in page.doubtful]
+    else:
+        others = [e for e in [*found, *beside] if not apart[e]]
+    regions, around = [], set()
+    for e in [first, *others]:
+        way = [e]
+        while way[-1]:
+            way.append(page.parents[way[-1]])
+        if e not in around and not any(x in regions for x in way):
+            regions.append(e)
+            around.update(way)
+    return regions
+
+
 def main_text(html: str) -> str:
     page = _Page()
     page.feed(html)
@@ -258,15 +295,21 @@ def main_text(html: str) -> str:
                 weight[e] = weight.get(e, 0) + n
     if not weight:
         return ""
-    named = [e for e in weight if page.tags[e] in ARTICLES]
-    if named:  # the heaviest; of nested ones of a weight the innermost
-        region, loose = max(named, key=lambda e: (weight[e], e)), False
-    else:
-        region, loose = max(e for e in weight if weight[e] >= HOLDS * weight.get(0, 0)), True
+    regions = _articles(page, weight)
+    whole = regions[:1]  # a named article keeps its lists of links
+    if not regions:  # the deepest element with all content
+        region = max(e for e in weight if weight[e] == weight[0])
         while region and page.tags[region] not in ("div", "section", "td", "body"):
             region = page.parents[region]
-    kept = [text for (text, _, links, _), way in zip(page.lines, above, strict=True)
-            if region in way and not any(page.hits[e] for e in way[: way.index(region)]) and not (loose and 2 * links > len(text))]
+        regions = [region]
+    wanted = set(regions)
+    kept = []
+    for (text, _, links, _), way, yes in zip(page.lines, above, chosen, strict=True):
+        at = next((k for k, e in enumerate(way) if e in wanted), None)
+        if at is None or any(page.hits[e] for e in way[:at]):
+            continue
+        if yes or way[at] in whole or 2 * links <= len(text):
+            kept.append(text)
     return " ".join(kept)
 
 

@@ -46,6 +46,21 @@ def test_text_named_by_words_of_clutter():
     assert html_extract.main_text(page) == "Search results Related work Others did this. How to search. Note this. And this. Intro " + TEXT
 
 
+def test_regions_are_whole():
+    long = "".join(f"<p>Paragraph {k} of a long story, with quite a number of words in it.</p>" for k in range(9))
+    text = " ".join(f"Paragraph {k} of a long story, with quite a number of words in it." for k in range(9))
+    menu = "<div><a href=x>Home</a> <a href=y>News</a></div>"
+    end = "And the last part of the story stands by itself at the end."
+    for parts in (f"<div>{long}</div><div><p>{end}</p></div>", f"<div>{text}</div><div>{end}</div>"):
+        assert html_extract.main_text(f"<body>{menu}<div class=story>{parts}</div>{menu}</body>") == f"{text} {end}"
+    assert html_extract.main_text(f"<body>{menu}<article>{long}</article><article><p>{end}</p></article><article>Fin.</article>{menu}</body>") == f"{text} {end} Fin."
+    assert html_extract.main_text(f"<div><article>{long}</article></div><div><article><p>{end}</p></article></div>") == f"{text} {end}"
+    assert html_extract.main_text(f"<article>{long}</article><section class=comments><article><p>{end}</p></article></section>") == text
+    assert html_extract.main_text(f"<article>{long}</article><article class='related'><p>{end}</p></article>") == text
+    linked = "<p><a href=z>This paragraph is a link with as many words as its neighbours here.</a></p>"
+    assert "This paragraph is a link" in html_extract.main_text(f"<body>{menu}<div>{long}{linked}{long}</div></body>")
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<html></html>", "<nav>a</nav>", "<p", "<![CDATA[x]]>", "<!DOCTYPE html>", "</div></p>", "<script>x"])
 def test_pages_without_text(page):
     assert html_extract.main_text(page) in ("", "<p")
