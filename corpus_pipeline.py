@@ -31,11 +31,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Op 3: of each group of near-duplicates the document with the smallest id stays, once."""
-    classes = neardup.near_duplicates(docs.select("doc_id", "text"))
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Op 3 over rows, not ids: of each group of near-duplicate rows the one with the smallest id stays, once.
+
+    A row with an id stays before one without. Rows with a null id or with an id that others have too are
+    compared by their own text like all others, so each text that is near no other stays. Texts without words
+    are near nothing; only rows equal in id and text are one, and those with a null id all stay.
+    """
+    path = fresh_dir(spark, "corpus-near_dedup-rows")  # fixed numbers: every later read sees the same
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    classes = neardup.near_duplicates(rows.select("__row", "text"), "__row")
+    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    alone = F.when(~F.coalesce(worded, F.lit(False)) & F.col("doc_id").isNotNull(), F.struct("doc_id", "text"))
+    named = rows.select("__row", "doc_id", alone.alias("__alone")).join(classes, "__row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))["__row"].alias("__row")
+    first = named.groupBy(F.when(F.col("__alone").isNull(), F.col("class_id")).alias("class"), "__alone").agg(least).select("__row")
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,16 @@ def test_stages_keep_the_columns_and_stand_odd_rows(spark):
         stage(spark, odd, SF001).collect()
     assert corpus_pipeline.near_dedup(spark, odd.unionByName(odd), SF001).where("doc_id is not null").count() == \
         corpus_pipeline.near_dedup(spark, odd, SF001).where("doc_id is not null").count()
+
+
+def test_near_dedup_keeps_texts_of_rows_without_or_with_shared_ids(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (None, text(2)), (None, text(2) + " more"), (None, text(3)),
+            (5, text(3)), (7, text(4)), (7, text(5)), (7, text(5)), (8, text(6)), (6, text(6) + " end"), (9, ""), (9, ""), (9, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars int")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, SF001).collect()]
+    two = [x for x in kept if x[0] is None and x[1].startswith("w2x0")]
+    assert len(two) == 1
+    rest = [x for x in kept if x not in two]
+    want = [(None, text(0)), (None, text(1)), (5, text(3)), (7, text(4)), (7, text(5)), (6, text(6) + " end"), (9, ""), (9, None), (None, "")]
+    assert sorted(rest, key=str) == sorted(want, key=str)
