@@ -7,7 +7,13 @@ shingle is one that the band keeps in a template's window retrieves the document
 lies in two windows, and a band loses it only if both its neighbours are smaller (1/3), so one shared
 shingle is retrieved with probability 1 - 3**-BANDS or more, here 0.998; longer notices share many.
 Verification: some stretch of the text not much longer than the template holds 0.8 or more of its
-distinct shingles.
+distinct shingles; of a notice also one around each version number. For whole license texts (over ``LONG``
+shingles) stretches begin where a run of shared shingles does, and every fourth shingle is a key. Licenses
+whose templates hold much of each other compete: of two found in one stretch the one that shares more
+shingles stays (the better contained among equals).
+
+Templates are ``TEMPLATES``, further notices by version and family (``_notices``) and the whole texts in
+``license_texts``: Apache-2.0, BSD-2/3-Clause, GPL-2.0/3.0, ISC, LGPL-2.1/3.0, MIT, MPL-2.0.
 
 Everything is a narrow projection of built-in functions: no shuffle, no join. The templates are
 literals of the plan; their number is bounded (``MAX_SHINGLES``), a larger list is refused.
@@ -15,6 +21,10 @@ literals of the plan; their number is bounded (``MAX_SHINGLES``), a larger list
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +38,10 @@ MAX_SHINGLES = 20_000
 PERMUTATIONS = (0x243F6A8885A308D3, 0x13198A2E03707344, -0x5BF6C7DD660CE230, 0x082EFA98EC4E6C89,
                 0x452821E638D01377, -0x41AB9930CB16F394)
 
+SHORT = 100          # shingles; templates up to this are notices, whose version numbers must be found
+LONG = 400           # shingles; beyond, a stretch begins where a run of shared shingles does
+RIVAL = 0.5          # share of a template's shingles that another license's template holds
+
 # Short notices as public licenses ask for them, and the first sentence of longer texts.
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
@@ -46,6 +60,63 @@ TEMPLATES = {
 }
 
 
+# Further notices, by version and family.
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_CC_KINDS = {"4.0": "International", "3.0": "Unported", "2.0": "Generic"}
+_GNU = {"GPL": ("General", "program", "1.0 2.0 3.0"), "LGPL": ("Lesser General", "library", "2.1 3.0"),
+        "AGPL": ("Affero General", "program", "3.0")}
+
+
+def _notices() -> dict[str, list[str]]:
+    found: dict[str, list[str]] = {
+        "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
+        "MIT": ["Licensed under the MIT License.", "Distributed under the MIT License."],
+        "BSD": ["Released under the BSD License.", "Licensed under the BSD License.", "Distributed under the BSD License."],
+        "ISC": ["Released under the ISC License.", "Licensed under the ISC License.", "Distributed under the ISC License."],
+        "LGPL-2.0": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+                     "General Public License as published by the Free Software Foundation; either version 2 of the License"],
+        "MPL-1.1": ["The contents of this file are subject to the Mozilla Public License Version 1.1"],
+        "EPL-1.0": ["made available under the terms of the Eclipse Public License v1.0"],
+        "EPL-2.0": ["made available under the terms of the Eclipse Public License 2.0",
+                    "made available under the terms of the Eclipse Public License v. 2.0"],
+        "CC0-1.0": ["Licensed under CC0 1.0.", "This work is licensed under a Creative Commons CC0 1.0 Universal License",
+                    "Creative Commons Legal Code CC0 1.0 Universal",
+                    "has waived all copyright and related or neighboring rights to this work"],
+    }
+    for code, kind in _CC.items():
+        for version, scope in _CC_KINDS.items():
+            for notice in (f"Licensed under CC {code} {version}.", f"This work is licensed under a Creative Commons {kind} {version} {scope} License"):
+                name = f"CC-{code}-{version}"
+                if notice not in TEMPLATES.get(name, []):
+                    found.setdefault(name, []).append(notice)
+    for code, (kind, thing, versions) in _GNU.items():
+        for version in versions.split():
+            name, number = f"{code}-{version}", version.removesuffix(".0")
+            for work in ("program", thing):
+                for notice in (f"This work is licensed under the GNU {kind} Public License, version {number}.",
+                               f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public "
+                               f"License as published by the Free Software Foundation, either version {number} of the License"):
+                    if notice not in [*TEMPLATES.get(name, []), *found.get(name, [])]:
+                        found.setdefault(name, []).append(notice)
+    return found
+
+
+# Words of which five in a row must be in the stretch, where another license's whole text is nearly the same.
+NEEDED = {"GPL-3.0": "Use with the GNU Affero", "LGPL-2.1": "the GNU Lesser General Public"}
+
+
+@cache
+def all_templates() -> dict[str, list[str]]:
+    """``TEMPLATES``, the further notices and the whole texts in ``license_texts``."""
+    found = {name: list(bodies) for name, bodies in TEMPLATES.items()}
+    for name, bodies in _notices().items():
+        found.setdefault(name, []).extend(bodies)
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        found.setdefault(path.stem, []).append(path.read_text(encoding="utf-8"))
+    return found
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^0-9a-zß-öø-ɏ]+"), "")
 
@@ -63,19 +134,37 @@ def _hashes(df: DataFrame, text: str) -> DataFrame:
     return hashed.withColumn("__s", F.when(F.size("__w") >= SHINGLE, shingles).otherwise(F.array().cast("array<bigint>")))
 
 
-def _template_shingles(df: DataFrame, templates: dict[str, list[str]]) -> list[tuple[str, list[int]]]:
-    """The templates' shingle hashes, computed by the same expressions as those of the documents."""
+def _template_shingles(df: DataFrame, templates: dict[str, list[str]], needed: dict[str, str]) -> list[tuple[str, list[int], list[set[int]]]]:
+    """The templates' shingle hashes, computed by the same expressions as those of the documents, and sets of
+    hashes of each of which a stretch must hold one: those around each version number of a notice, and ``needed``."""
     spark = df.sparkSession
-    rows = [(name, body) for name in sorted(templates) for body in templates[name]]
-    made = _hashes(spark.createDataFrame(rows, "name string, body string"), "body")
-    found = [(r["name"], list(r["__s"])) for r in made.select("name", "__s").collect()]
-    if any(not s for _, s in found):
+    rows = [(name, body, needed.get(name)) for name in sorted(templates) for body in templates[name]]
+    made = _hashes(spark.createDataFrame(rows, "name string, body string, must string"), "body").withColumn("words", words(F.col("body")))
+    made = _hashes(made.select("name", "words", F.col("__s").alias("s"), "must"), "must")
+    found = []
+    for r in made.select("name", "words", "s", "__s").collect():
+        s, groups = list(r["s"]), []
+        if len(s) <= SHORT:
+            groups = [set(s[max(0, k - SHINGLE + 1): k + 1]) for k, w in enumerate(r["words"]) if re.fullmatch(r"v?[0-9]+", w)]
+        elif len(s) > LONG:
+            groups = [{x} for x in r["__s"]]
+        found.append((r["name"], s, groups))
+    if any(not s for _, s, _ in found):
         raise ValueError(f"a template needs {SHINGLE} words or more")
-    if sum(len(s) for _, s in found) > MAX_SHINGLES:
+    if sum(len(s) for _, s, _ in found) > MAX_SHINGLES:
         raise ValueError(f"the templates have more than {MAX_SHINGLES} shingles")
     return found
 
 
+def _rivals(found: list[tuple[str, list[int], list[set[int]]]]) -> dict[str, set[str]]:
+    """By license, the others whose templates hold so much of one of its templates that they look like it."""
+    sets = [(name, set(s)) for name, s, _ in found]
+    out: dict[str, set[str]] = {}
+    for name, s in sets:
+        out.setdefault(name, set()).update(n for n, t in sets if n != name and len(s & t) >= RIVAL * len(s))
+    return out
+
+
 def scan(df: DataFrame, text: str = "text", templates: dict[str, list[str]] | None = None) -> DataFrame:
     """Adds ``licenses``: sorted array of (license, start, n_words, containment), one for each
     license found; start is the first word of its best stretch (the earliest among equals).
@@ -85,38 +174,59 @@ def scan(df: DataFrame, text: str = "text", templates: dict[str, list[str]] | No
     """
     kept = without(df, "licenses")
     kind = "array<struct<license:string,start:int,n_words:int,containment:double>>"
-    found = _template_shingles(kept, TEMPLATES if templates is None else templates) if templates != {} else []
+    known, needed = (all_templates(), NEEDED) if templates is None else (templates, {})
+    found = _template_shingles(kept, known, needed) if known else []
     if not found:
         return kept.withColumn("licenses", F.array().cast(kind))
 
     # SQL text: thousands of literals would otherwise each be a call into the JVM
     def retrieved(p: int) -> str:
         # "smaller" is by the permuted value; the kept shingle itself is the band's key
-        keys = {min((x, y), key=lambda z: z ^ p) for _, s in found for x, y in zip(s, [*s[1:], s[-1]], strict=True)}
-        keys |= {s[0] for _, s in found}  # the window that begins one word before the notice
+        keys = {min((x, y), key=lambda z: z ^ p) for _, s, _ in found if len(s) <= LONG for x, y in zip(s, [*s[1:], s[-1]], strict=True)}
+        keys |= {s[0] for _, s, _ in found}  # the window that begins one word before the notice
         return f"least(__s[i] ^ {p}L, get(__s, i + 1) ^ {p}L) IN ({', '.join(f'{k ^ p}L' for k in sorted(keys))})"
 
     hashed = _hashes(kept, text).withColumn("__at", _upto(F.size("__s")))
     tests = " OR ".join(retrieved(p) for p in PERMUTATIONS[:BANDS])
+    # a text that holds CONTAINED of a template's distinct shingles holds one or more of any fourth of them
+    fourth = sorted({x for _, s, _ in found if len(s) > LONG for x in sorted(set(s))[::4]})
+    if fourth:
+        tests += f" OR __s[i] IN ({', '.join(f'{x}L' for x in fourth)})"
     hashed = hashed.withColumn("__hit", F.expr(f"exists(__at, i -> {tests})"))
+    rivals = _rivals(found)
 
-    def best(name: str, s: list[int]) -> Column:
+    def best(name: str, s: list[int], groups: list[set[int]]) -> Column:
         distinct, reach = sorted(set(s)), len(s) + max(2, len(s) // 4)
         whole = ", ".join(f"{x}L" for x in distinct)
-        top = F.expr(f"""array_max(transform(filter(__at, i -> __s[i] IN ({whole})), i -> struct(
-            size(array_intersect(slice(__s, i + 1, {reach}), array({whole}))) / {float(len(distinct))}D AS score, -i AS start)))""")
-        return F.when(top["score"] >= CONTAINED, F.struct(
-            F.lit(name).alias("license"), (-top["start"]).alias("start"),
-            F.least(F.lit(reach + SHINGLE - 1), F.size("__w") + top["start"]).alias("n_words"),
-            top["score"].alias("containment")))
+        array = f"cast(split('{','.join(map(str, distinct))}', ',') as array<bigint>)"
+        begins = f"filter(__at, i -> __s[i] IN ({whole}))"
+        if len(s) > LONG:  # where the shingle before isn't shared
+            begins = f"transform(array(transform(__s, x -> x IN ({whole}))), m -> filter(__at, i -> m[i] AND (i = 0 OR NOT m[i - 1])))[0]"
+        must = "".join(f" AND arrays_overlap(slice(__s, i + 1, {reach}), array({', '.join(f'{x}L' for x in sorted(g))}))" for g in groups)
+        begins = f"filter({begins}, i -> true{must})" if must else begins
+        # lambdas over arrays of one bind what is used several times, as the literals are many
+        rival = f"cast(array({', '.join(repr(r) for r in sorted(rivals[name]))}) as array<string>)"
+        return F.expr(f"""filter(transform(array(array_max(transform({begins}, i -> struct(
+            size(array_intersect(slice(__s, i + 1, {reach}), {array})) AS shared, -i AS start)))), t -> struct(
+            t.shared / {float(len(distinct))}D AS containment, t.start AS first, -least({reach + SHINGLE - 1}, size(__w) + t.start) AS less,
+            t.shared AS shared, {len(s)} AS size, '{name}' AS license, {rival} AS rivals)), t -> t.containment >= {CONTAINED}D)""")
 
     by_name: dict[str, list[Column]] = {}
-    for name, s in found:
-        by_name.setdefault(name, []).append(best(name, s))
+    for name, s, groups in found:
+        by_name.setdefault(name, []).append(best(name, s, groups))
     # of a license's notices the one contained best, the earliest and then the shortest among equals
-    ranked = [F.array_max(F.filter(F.array(*[F.struct(c["containment"].alias("c"), (-c["start"]).alias("s"),
-                                                      (-c["n_words"]).alias("n"), c.alias("m")) for c in cs]),
-                                   lambda x: x["m"].isNotNull()))["m"] for cs in by_name.values()]
-    matches = F.filter(F.array(*ranked), lambda m: m.isNotNull())
-    return hashed.withColumn("licenses", F.when(F.col("__hit"), matches).otherwise(F.array().cast(kind)).cast(kind)) \
-        .drop("__w", "__s", "__at", "__hit")
+    ranked = F.filter(F.array(*[F.array_max(F.concat(*cs)) for cs in by_name.values()]), lambda m: m.isNotNull())
+    matches = F.transform(ranked, lambda m: F.struct(
+        m["license"].alias("license"), (-m["first"]).alias("start"), (-m["less"]).alias("n_words"), m["containment"].alias("containment"),
+        m["shared"].alias("shared"), m["size"].alias("size"), m["rivals"].alias("rivals")))
+    hashed = hashed.withColumn("__m", F.when(F.col("__hit"), matches))
+
+    def beaten(x: Column, y: Column) -> Column:
+        """Whether y, of a license much like that of x, shares more of the same stretch."""
+        same = (x["start"] < y["start"] + y["size"]) & (y["start"] < x["start"] + x["size"])
+        more = (y["shared"] > x["shared"]) | (y["shared"] == x["shared"]) & (y["containment"] > x["containment"])
+        return F.array_contains(x["rivals"], y["license"]) & same & more
+
+    left = F.filter("__m", lambda x: ~F.exists("__m", lambda y: beaten(x, y)))
+    plain = F.transform(left, lambda m: F.struct(*[m[c].alias(c) for c in ("license", "start", "n_words", "containment")]))
+    return hashed.withColumn("licenses", F.coalesce(plain.cast(kind), F.array().cast(kind))).drop("__w", "__s", "__at", "__hit", "__m")

@@ -61,3 +61,23 @@ def test_query_finds_every_notice(spark):
     assert got.keys() == docs.keys()
     assert {d: r["licenses"] for d, r in got.items()} == {d: ",".join(x[0] for x in brute(t)) for d, t in docs.items()}
     assert any(r["n_licenses"] for r in got.values())
+
+
+def test_versions_families_and_whole_texts(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License"
+    work = "This work is licensed under the GNU {} Public License, version {}."
+    cases = {(kind, v): name for kind, v, name in [("General", "3", "GPL-3.0"), ("General", "2", "GPL-2.0"), ("Lesser General", "3", "LGPL-3.0"),
+                                                   ("Lesser General", "2.1", "LGPL-2.1"), ("Affero General", "3", "AGPL-3.0"), ("General", "9", None)]}
+    texts = [(f"some words {form.format(*at)} and others", {name} - {None}) for at, name in cases.items() for form in (gpl, work)]
+    texts += [(f"{work.format('General', '2')} {work.format('General', '3')}", {"GPL-2.0", "GPL-3.0"}),
+              ("Licensed under CC BY 4.0.", {"CC-BY-4.0"}), ("Licensed under CC BY-SA 4.0.", {"CC-BY-SA-4.0"}), ("Licensed under CC BY-NC 3.0.", {"CC-BY-NC-3.0"}),
+              ("Distributed under the MIT License.", {"MIT"}), ("Released under the ISC License.", {"ISC"}), ("Licensed under CC0 1.0.", {"CC0-1.0"}),
+              ("made available under the terms of the Eclipse Public License 2.0", {"EPL-2.0"})]
+    for name in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0"):
+        whole = licenses.all_templates()[name][-1]
+        w = whole.split()
+        texts += [(whole, {name}), (" ".join(["before"] * 9 + w[len(w) // 20: -len(w) // 20]), {name})]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "id int, text string").repartition(8)
+    rows = licenses.scan(df).orderBy("id").collect()
+    got = [{m["license"] for m in r["licenses"]} for r in rows]
+    assert [(t[:60], g) for (t, _), g in zip(texts, got, strict=True)] == [(t[:60], want) for t, want in texts]
