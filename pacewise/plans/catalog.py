@@ -3,6 +3,9 @@
 Pure queries derive every layer from the given tables in one lazy plan. Side-effect jobs
 (layouts, erasure, streaming, compaction) run the real job on their own copy of the lake under
 the session's checkpoint folder and return the resulting table.
+
+The campaigns are the 20 of FIXTURES.md (``nation`` keys 0..19), at any size of the input, as the events
+derived there use these 20 codes only; no event is left without its campaign.
 """
 
 from __future__ import annotations
