@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, html_extract, licenses, linededup, neardup, quality, substring, tokenfiles
+from pacewise.llm import bpe, chat, decontaminate, html_extract, lexical, licenses, linededup, neardup, quality, substring, tokenfiles
 from pacewise.llm.common import hex_sha256, table
 from pacewise.session import fresh_dir
 
@@ -87,6 +87,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rules(docs, model).drop("text")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "search-index")
+    lexical.build_index(table(spark, sf_dir, "documents"), path)
+    return lexical.search(spark, path, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -98,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_chat": op9_chat,
     "op10_quality": op10_quality,
+    "op11_search": op11_search,
 }
