@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, html_extract, lexical, licenses, linededup, neardup, quality, substring, tokenfiles
+from pacewise.llm import bpe, chat, decontaminate, fingerprints, html_extract, lexical, licenses, linededup, neardup, quality, substring, tokenfiles
 from pacewise.llm.common import hex_sha256, table
 from pacewise.session import fresh_dir
 
@@ -93,6 +93,13 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(spark, path, table(spark, sf_dir, "benchmark"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints.with_edits(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_chars", hex_sha256(F.col("edited").cast("binary")).alias("edited_sha256"),
+                       fingerprints.as_text(F.col("fingerprint")).alias("fingerprint"),
+                       fingerprints.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -105,4 +112,5 @@ QUERIES: dict[str, Query] = {
     "op9_chat": op9_chat,
     "op10_quality": op10_quality,
     "op11_search": op11_search,
+    "op13_fingerprints": op13_fingerprints,
 }
