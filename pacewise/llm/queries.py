@@ -11,12 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.llm import bpe, chat, decontaminate, fingerprints, html_extract, lexical, licenses, linededup, neardup, quality, substring, tokenfiles
+from pacewise.llm import alignment, bpe, chat, decontaminate, fingerprints, html_extract, lexical, licenses, linededup, neardup, quality, substring, tokenfiles
 from pacewise.llm.common import hex_sha256, table
 from pacewise.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +95,11 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(spark, path, table(spark, sf_dir, "benchmark"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fingerprints.with_edits(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_chars", hex_sha256(F.col("edited").cast("binary")).alias("edited_sha256"),
@@ -112,5 +119,6 @@ QUERIES: dict[str, Query] = {
     "op9_chat": op9_chat,
     "op10_quality": op10_quality,
     "op11_search": op11_search,
+    "op12_alignment": op12_alignment,
     "op13_fingerprints": op13_fingerprints,
 }
