@@ -51,10 +51,14 @@ CHUNK = 64 << 10      # bytes of a chunk; a longer text is dealt out
 BLOCK = 16 << 20      # text that shares one list of pairs
 FAN = 16              # neighbours composed by one task of a level
 PIECE = 2 << 20       # text encoded at a time
+KEPT = 64 << 20       # bytes that stretches and their ids may take in a worker; then it starts anew
+JOINED = 32 << 10     # bytes of new stretches encoded in one call
 
 # Letters of two bytes before and after the space of a safe cut: Latin to U+024F, Cyrillic to U+047F.
 _LETTER = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f]|[\xd0\xd1][\x80-\xbf]"
-_SAFE = re.compile(rb"(?:(?<=[!-~])|(?<=[\xc3-\xc8\xd0\xd1][\x80-\xbf])) (?=[A-Za-z]|" + _LETTER + rb")")
+_BEFORE = rb"[!-~]|[\xc3-\xc8\xd0\xd1][\x80-\xbf]"
+_SAFE = re.compile(rb" (?=[A-Za-z]|" + _LETTER + rb")(?:(?<=[!-~] )|(?<=[\xc3-\xc8\xd0\xd1][\x80-\xbf] ))")
+_INNER = re.compile(rb"(?=[A-Za-z]|" + _LETTER + rb").*(?:" + _BEFORE + rb")", re.DOTALL)  # may stand between two safe cuts
 
 
 @functools.cache
@@ -89,16 +93,90 @@ class Pair:
         self.words = np.array([f"{i}{c}" for i in range(len(self.a_bytes)) for c in ",|"]
                               + [f"{i}{c}" for i in range(self.width) for c in ",;"], object)
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of both for each text (without its space); None where either doesn't give the bytes back."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        out: list[tuple[list[int], list[int]] | None] = []
-        for text, x, y in zip(texts, a, b, strict=True):
-            data = b" " + text.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, x)) == data == b"".join(map(self.b_bytes.__getitem__, y))
-            out.append((x, y) if same else None)
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.kept = 0
+        self.same = np.zeros(0, bool)
+        self.a_ids, self.b_ids = Lists(), Lists()
+
+    def _whole(self, texts: list[bytes]) -> list[tuple[list[int], list[int], bool]]:
+        """Ids of both for each text (a space before it), and whether both give its bytes back."""
+        plain = [t.decode() for t in texts]
+        a = [e.ids for e in self.a.encode_batch([" " + t for t in plain], add_special_tokens=False)]
+        b = self.b.encode(plain, num_threads=1)
+        return [(x, y, b"".join(map(self.a_bytes.__getitem__, x)) == b" " + t == b"".join(map(self.b_bytes.__getitem__, y)))
+                for t, x, y in zip(texts, a, b, strict=True)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of new stretches: those that may stand between safe cuts are joined to longer texts and cut again."""
+        inner, alone, size = [[]], [], 0
+        for t in new:
+            if _INNER.fullmatch(t):
+                if size + len(t) > JOINED and inner[-1]:
+                    inner.append([])
+                    size = 0
+                inner[-1].append(t)
+                size += len(t) + 1
+            else:
+                alone.append(t)
+        inner = [x for x in inner if x]
+        for group, (a, b, same) in zip(inner, self._whole([b" ".join(x) for x in inner]), strict=True):
+            ends = np.cumsum([len(t) + 1 for t in group])
+            a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+            if same and np.isin(ends, a_end).all() and np.isin(ends, b_end).all():
+                self._keep(group, a, np.searchsorted(a_end, ends) + 1, b, np.searchsorted(b_end, ends) + 1, np.ones(len(group), bool))
+            else:
+                alone += group
+        made = self._whole(alone)
+        self._keep(alone, list(chain.from_iterable(x for x, _, _ in made)), np.cumsum([len(x) for x, _, _ in made], dtype=np.int64),
+                   list(chain.from_iterable(y for _, y, _ in made)), np.cumsum([len(y) for _, y, _ in made], dtype=np.int64),
+                   np.array([s for _, _, s in made], bool))
+
+    def _keep(self, group: list[bytes], a: list[int], a_stop: np.ndarray, b: list[int], b_stop: np.ndarray, same: np.ndarray) -> None:
+        for t in group:
+            self.places[t] = len(self.places)
+            self.kept += len(t) + 160  # with the dictionary's entry and some ids
+        self.a_ids.extend(a, a_stop)
+        self.b_ids.extend(b, b_stop)
+        self.same = np.concatenate((self.same, same))
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For texts of at least one byte (without their space): whether both give the bytes back, the A ids of all
+        texts and how many each has, and the same for B.
+
+        Stretches between safe cuts are encoded on their own, so one that was seen before keeps its ids.
+        """
+        if self.kept > KEPT:
+            self._forget()
+        split = [_SAFE.split(t) for t in texts]
+        flat = list(chain.from_iterable(split))
+        if new := list(dict.fromkeys(t for t in flat if t not in self.places)):
+            self._learn(new)
+        place = np.fromiter(map(self.places.__getitem__, flat), np.int64, len(flat))
+        first = np.cumsum([0, *(len(x) for x in split)])[:-1]
+        a, n_a = self.a_ids.take(place)
+        b, n_b = self.b_ids.take(place)
+        return np.logical_and.reduceat(self.same[place], first), a, np.add.reduceat(n_a, first), b, np.add.reduceat(n_b, first)
+
+
+class Lists:
+    """Growing lists of ids, one array with the places where they stop."""
+
+    def __init__(self) -> None:
+        self.ids, self.stops = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def extend(self, ids: list[int], stops: np.ndarray) -> None:
+        self.stops = np.concatenate((self.stops, stops + len(self.ids)))
+        self.ids = np.concatenate((self.ids, np.array(ids, np.int32)))
+
+    def take(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists at ``place`` after each other, and their lengths."""
+        start = self.stops[place]
+        sizes = self.stops[place + 1] - start
+        skip = np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
+        return self.ids[skip + np.arange(len(skip))].astype(np.int64), sizes
 
 
 @functools.lru_cache(maxsize=1)
@@ -143,10 +221,6 @@ class Aligned:
         return pairs, np.concatenate((np.arange(len(self.a)), a_at))
 
 
-def _ids(values: list[int]) -> np.ndarray:
-    return np.array(values, np.int64)
-
-
 # --- blocks: distinct pairs once, places in that list for each text ---------------------------------
 PACKED = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("pair", T.LongType()),
@@ -225,20 +299,24 @@ def _short_rows(pair: Pair, ids: list, bodies: list[str], whole: bool) -> tuple[
     """Rows, link owners and pairs of texts that are encoded whole."""
     rows = [{"doc_id": d, "n_a": 0, "n_b": 0, "n_groups": 0, "groups": ""} for d in ids]
     some = [i for i, t in enumerate(bodies) if t]
-    good = [(i, e) for i, e in zip(some, pair.encode([bodies[i] for i in some]), strict=True) if e]
-    if not good:
+    if not some:
         return rows, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    n_a, n_b = _ids([len(e[0]) for _, e in good]), _ids([len(e[1]) for _, e in good])
-    both = Aligned(pair, _ids(list(chain.from_iterable(e[0] for _, e in good))), _ids(list(chain.from_iterable(e[1] for _, e in good))))
+    same, a, n_a, b, n_b = pair.encode([bodies[i].encode() for i in some])
+    if not same.all():
+        a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
+        n_a, n_b, some = n_a[same], n_b[same], [i for i, s in zip(some, same, strict=True) if s]
+        if not some:
+            return rows, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    both = Aligned(pair, a, b)
     words = both.words().tolist()
     a_stop, stop = np.cumsum(n_a), np.cumsum(n_a + n_b)
     n_groups = np.diff(np.concatenate(([0], np.cumsum(both.a_last)[a_stop - 1])))
-    for k, (i, _) in enumerate(good):
+    for k, i in enumerate(some):
         text = "".join(words[stop[k] - n_a[k] - n_b[k]:stop[k]])[:-1]
         rows[i] |= {"n_a": int(n_a[k]), "n_b": int(n_b[k]), "n_groups": int(n_groups[k]),
                     "groups": text if whole else hashlib.sha256(text.encode()).hexdigest()}
     pairs, a_at = both.links()
-    return rows, _ids([i for i, _ in good])[np.searchsorted(a_stop, a_at, side="right")], pairs
+    return rows, np.array(some)[np.searchsorted(a_stop, a_at, side="right")], pairs
 
 
 # --- long texts: chunks, fragments, composition ----------------------------------------------------
@@ -304,9 +382,8 @@ class Fragment:
         return Fragment((ids("pre_a"), ids("pre_b")), row["cut"], row["first"], (ids("suf_a"), ids("suf_b")))
 
 
-def fragment(pair: Pair, a: list[int], b: list[int], skip: int, stop: int, chunk: int) -> tuple[Fragment, Aligned | None, int, int]:
+def fragment(pair: Pair, x: np.ndarray, y: np.ndarray, skip: int, stop: int, chunk: int) -> tuple[Fragment, Aligned | None, int, int]:
     """The fragment of a range, its closed groups, and how many A and B tokens it owns."""
-    x, y = _ids(a), _ids(b)
     x_end, y_end = np.cumsum(pair.a_size[x]), np.cumsum(pair.b_size[y])
     own_x, own_y = (x_end > skip) & (x_end <= stop), (y_end > skip) & (y_end <= stop)
     x, x_end, y, y_end = x[own_x], x_end[own_x], y[own_y], y_end[own_y]
@@ -338,9 +415,12 @@ def _fragments(df: DataFrame, shared: Broadcast) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, "body", PIECE):
                 rows, out = piece.to_pylist(), []
-                for row, ids in zip(rows, pair.encode([r["body"] for r in rows]), strict=True):
-                    made = {"key": row["key"], "doc_id": row["doc_id"], "chunk": row["chunk"], "same": ids is not None}
-                    if ids:
+                same, a, a_n, b, b_n = pair.encode([r["body"].encode() for r in rows])
+                a_stop, b_stop = np.cumsum(a_n), np.cumsum(b_n)
+                for k, row in enumerate(rows):
+                    made = {"key": row["key"], "doc_id": row["doc_id"], "chunk": row["chunk"], "same": bool(same[k])}
+                    if same[k]:
+                        ids = a[a_stop[k] - a_n[k]:a_stop[k]], b[b_stop[k] - b_n[k]:b_stop[k]]
                         part, closed, n_a, n_b = fragment(pair, *ids, row["skip"], row["stop"], row["chunk"])
                         made |= part.columns() | {"n_a": n_a, "n_b": n_b, "n_groups": len(closed.cuts) if closed else 0,
                                                   "groups": "".join(closed.words().tolist()) if closed else "",

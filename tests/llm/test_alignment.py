@@ -109,7 +109,8 @@ def test_composition_is_associative(libraries):
         pair = alignment.Pair(a.read(), b.read())
     rnd = random.Random(1)
     text = " ".join(rnd.choice(["unbelievable", "naïve", "日本語", "don't", "x9"]) for _ in range(80))
-    (a, b), = pair.encode([text])
+    same, a, _, b, _ = pair.encode([text.encode()])
+    assert same.all()
     size = len(text.encode()) + 1
     for _ in range(30):
         edges = sorted({0, size, *(rnd.randint(1, size - 1) for _ in range(rnd.randint(1, 25)))})
@@ -138,6 +139,25 @@ def test_composition_is_associative(libraries):
         assert left.first == whole.first and not len(whole.suffix[0])
 
 
+def test_kept_stretches_give_the_libraries_ids(libraries):
+    """Texts encoded from kept stretches, new and seen before, against the libraries over whole texts."""
+    with open(queries.BYTE_BPE, encoding="utf-8") as a, open(queries.PIECE_BPE, "rb") as b:
+        pair = alignment.Pair(a.read(), b.read())
+    texts = [t for _, t in sample() if t] * 2
+    rnd = random.Random(11)
+    marks = [" ", "  ", "\n", "\u00a0", "\u3000", "'s", "a", "Z", "é", "×", "÷", "я", "ɏ", "5", "_", "日", "\u0301", "▁", "\u2028", "ͅ", "ǆ", "'", "ll"]
+    texts += ["".join(rnd.choice(marks) for _ in range(rnd.randint(1, 30))) for _ in range(3000)]
+    for part in (texts[:500], texts[500:], texts):
+        same, x, n_x, y, n_y = pair.encode([t.encode() for t in part])
+        xs, ys = np.split(x, np.cumsum(n_x)[:-1]), np.split(y, np.cumsum(n_y)[:-1])
+        for t, s, i, j in zip(part, same, xs, ys, strict=True):
+            left, right = tokens(libraries, t)
+            data = b" " + t.encode()
+            assert s == (b"".join(b for _, b in left) == data == b"".join(b for _, b in right)), repr(t)
+            if s:
+                assert i.tolist() == [k for k, _ in left] and j.tolist() == [k for k, _ in right], repr(t)
+
+
 def test_windows_cover_the_text():
     data = (" " + " ".join(["word"] * 3000) + "日" * 3000 + " tail of words" * 300).encode()
     at = 0
