@@ -335,6 +335,13 @@ def worker_encoder(spec: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def forget_encoders() -> None:
+    """Gives back the memory of this worker's encoder (tables and caches)."""
+    _ENCODERS.clear()
+    gc.unfreeze()
+    gc.collect()
+
+
 def read_vocabulary(path: str) -> str:
     """The vocabulary file (a few MB, installed beside the code; its size is fixed by the file)."""
     with open(path, encoding="utf-8") as f:
@@ -349,12 +356,16 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text") -> DataFrame
     return _mapped(df, vocabulary_path, text, decode=False)
 
 
-def encode_decode(df: DataFrame, vocabulary_path: str, text: str = "text") -> DataFrame:
-    """``encode`` plus ``decoded``: the ids decoded again, in the same pass over the rows."""
-    return _mapped(df, vocabulary_path, text, decode=True)
+def encode_decode(df: DataFrame, vocabulary_path: str, text: str = "text", keep: bool = True) -> DataFrame:
+    """``encode`` plus ``decoded``: the ids decoded again, in the same pass over the rows.
+
+    Without ``keep`` a worker gives its encoder's memory back after each task, for jobs whose other stages
+    need it; with it, later tasks go on with the encoder and the words it knows.
+    """
+    return _mapped(df, vocabulary_path, text, decode=True, keep=keep)
 
 
-def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool) -> DataFrame:
+def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool, keep: bool = True) -> DataFrame:
     if text.lower() in ("ids", "decoded"):
         raise ValueError("the text column may not be named like a result")
     kept = without(df, "ids", *["decoded"] * decode)
@@ -370,6 +381,9 @@ def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool) -> Dat
                 if decode:
                     new["decoded"] = pa.array([encoder.decode(i) for i in ids], pa.binary()).cast(pa.string())
                 yield extend(piece, **new)
+        if not keep:
+            del encoder
+            forget_encoders()
 
     return kept.mapInArrow(run, appended(kept, *fields))
 
