@@ -213,6 +213,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
+        self.share = 1
         self.words = _Words(self)
         self.root, self.nodes = [{}, 0, 0, -1], 0
 
@@ -222,7 +223,7 @@ class Encoder:
         A node of the prefix cache is [children, automaton state, matched length, last token].
         """
         v, n = self.v, len(w)
-        if self.nodes > PREFIX_CACHE:
+        if self.nodes > PREFIX_CACHE // self.share:
             self.root, self.nodes = [{}, 0, 0, -1], 0
         node, path, k = self.root, [self.root], 0
         short = n <= SHORT_WORD
@@ -291,7 +292,7 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         if not is_plain(text):
             return self._slow(text)
-        if len(self.words) > WORD_CACHE:
+        if len(self.words) > WORD_CACHE // self.share:
             self.words.older = dict(self.words)
             self.words.clear()
         return b"".join(map(self.words.__getitem__, text.lower().split()))
@@ -356,16 +357,16 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text") -> DataFrame
     return _mapped(df, vocabulary_path, text, decode=False)
 
 
-def encode_decode(df: DataFrame, vocabulary_path: str, text: str = "text", keep: bool = True) -> DataFrame:
+def encode_decode(df: DataFrame, vocabulary_path: str, text: str = "text", lean: bool = False) -> DataFrame:
     """``encode`` plus ``decoded``: the ids decoded again, in the same pass over the rows.
 
-    Without ``keep`` a worker gives its encoder's memory back after each task, for jobs whose other stages
-    need it; with it, later tasks go on with the encoder and the words it knows.
+    A ``lean`` worker keeps a quarter of the words, prefixes and pairs and gives its encoder's memory back
+    after each task, for jobs whose other stages need it; else later tasks go on with what it knows.
     """
-    return _mapped(df, vocabulary_path, text, decode=True, keep=keep)
+    return _mapped(df, vocabulary_path, text, decode=True, lean=lean)
 
 
-def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool, keep: bool = True) -> DataFrame:
+def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool, lean: bool = False) -> DataFrame:
     if text.lower() in ("ids", "decoded"):
         raise ValueError("the text column may not be named like a result")
     kept = without(df, "ids", *["decoded"] * decode)
@@ -374,6 +375,7 @@ def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool, keep:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(spec.value)
+        encoder.share = 4 if lean else 1
         for batch in batches:
             for piece in pieces(batch, text):
                 ids = [encoder.encode(t) for t in texts(piece, text)]
@@ -381,7 +383,7 @@ def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool, keep:
                 if decode:
                     new["decoded"] = pa.array([encoder.decode(i) for i in ids], pa.binary()).cast(pa.string())
                 yield extend(piece, **new)
-        if not keep:
+        if lean:
             del encoder
             forget_encoders()
 
