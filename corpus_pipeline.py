@@ -57,7 +57,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 1: ids of every text left, with the digest of the text they decode to."""
-    coded = bpe.encode_decode(docs.select("doc_id", "text"), VOCABULARY, keep=False)
+    coded = bpe.encode_decode(docs.select("doc_id", "text"), VOCABULARY, lean=True)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         hex_sha256(F.col("decoded").cast("binary")).alias("decoded_sha256"))
 
