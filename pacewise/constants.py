@@ -17,4 +17,5 @@ AMPLIFY = 10  # copies of silver in the layout study
 BAD_LAYOUT_FILES = 500  # forced file count of the unpartitioned layout
 MIN_INPUT_FILES = 2  # sort-compaction rewrites partitions holding at least this many files
 SMALL_FILE_BYTES = 32 * 1024 * 1024  # files below this size count for compaction
+TARGET_FILE_BYTES = 128 * 1024 * 1024  # compaction packs small files into files of about this size
 SORT_KEYS = ("campaign_id", "event_ts")  # clustering order of the optimized layout

@@ -24,6 +24,12 @@ def unjoined_events(silver: DataFrame, dim: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("unjoined_events")))
 
 
+def delivery_matches_impressions(silver: DataFrame, delivery: DataFrame) -> DataFrame:
+    """Delivery rows and silver impressions, which must be as many."""
+    impressions = silver.where(F.col("event_type") == "impression").agg(F.count(F.lit(1))).scalar()
+    return delivery.agg(F.count(F.lit(1)).alias("delivery_rows")).select("delivery_rows", impressions.alias("impressions"))
+
+
 def nesting_violations(delivery: DataFrame) -> DataFrame:
     """Impressions completing a later quartile without the earlier one (N6: B12)."""
     c = {q: F.col(f"completed_{q}") for q in ("q25", "q50", "q75", "q100")}

@@ -1,25 +1,27 @@
 """User erasure across the lake.
 
-Input is always a *table* of user ids (one id = one row). Erasing rewrites only the partitions
-that hold the users' rows: on the bucketed silver layout that is one bucket per day; bronze and
-delivery have no user layout, so their ``user_id`` column is scanned once to find the touched
-partitions. Survivors are written back with dynamic partition overwrite (the old files are read
-before the commit replaces them, so a lost executor simply re-reads them); partitions left with
-no rows are deleted explicitly, because dynamic overwrite never touches a partition it writes
-no rows to. Every erase ends with a verification that the users have no rows left.
+Input is always a *table* of user ids (one id = one row). Erasing rewrites single files: those that
+hold a row of the users, found by one scan of ``user_id`` (on the bucketed silver layout, of the users'
+buckets alone; on bronze and delivery, of the row groups that their Bloom filters and user order
+leave). Each such file is written anew without the rows, by one task, and then moved over the old
+one in one step, so a reader finds each file as it was or as it shall be, and a run lost half way
+is finished by the next one, which finds the files that are left. A file without other rows is
+deleted, and so is a partition folder without files. Every erase ends with a verification that
+the users have no rows left.
 """
 
 from __future__ import annotations
 
-import uuid
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pacewise.functions import is_valid_user_id, user_bucket
 from pacewise.operators import gold
-from pacewise.operators.maintenance import NULL_KEY, in_partitions, partition_key, recover, swap_folders
+from pacewise.operators.maintenance import NULL_KEY, in_partitions, recover
+from pacewise.operators.rewrite import check_stage, file_name, stage_files, stage_path, staged_files
 from pacewise.session import checkpoint_root
 from pacewise.sources import fs
 from pacewise.sources.tables import Lake, Table
@@ -67,87 +69,94 @@ def frozen_users(spark: SparkSession, users: DataFrame) -> DataFrame:
     return validated_users(users).checkpoint(eager=True)
 
 
-def _flag_users(df: DataFrame, table: Table, users: DataFrame) -> DataFrame:
-    """``df`` plus ``_erase`` (true for the users' rows)."""
-    side = users.select("user_id", F.lit(True).alias("_erase"))
-    return (df.join(side, "user_id", "left")
-            .withColumn("_erase", F.coalesce(F.col("_erase"), F.lit(False))))
+LOOKUP_IDS = 1_000  # so many ids at most are also a literal filter, which row groups are skipped by
 
 
 def _users_rows(df: DataFrame, table: Table, users: DataFrame) -> DataFrame:
-    """The users' rows: one plan for any number of ids.
+    """The users' rows: a semi join for any number of ids.
 
     On a bucketed table the users' buckets (at most ``USER_BUCKETS`` values) are a static
-    partition filter, so the scan opens only those folders.
+    partition filter, so the scan opens only those folders. Elsewhere a short list is a filter of the
+    scan as well, which Parquet checks against each row group's statistics and Bloom filter; among more
+    ids than ``LOOKUP_IDS`` nearly every row group holds one, and the join alone decides.
     """
     if "user_bucket" in table.partition_by:
         buckets = [r[0] for r in users.select(user_bucket("user_id")).distinct().collect()]
         df = df.where(F.col("user_bucket").isin(buckets))
+    if "user_id" in table.lookup_by:
+        ids = [r[0] for r in users.select("user_id").distinct().limit(LOOKUP_IDS + 1).collect()]
+        if len(ids) <= LOOKUP_IDS:
+            df = df.where(F.col("user_id").isin(ids))
     return df.join(users, "user_id", "left_semi")
 
 
+@contextmanager
+def _lookups(spark: SparkSession):
+    """Lets scans hand lists of up to ``LOOKUP_IDS`` values to Parquet one by one, not as their range."""
+    key = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), LOOKUP_IDS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def remaining_rows(spark: SparkSession, table: Table, users: DataFrame) -> int:
     """Rows of ``users`` still readable in ``table``."""
     spark.catalog.refreshByPath(table.path)
-    return _users_rows(table.read(spark, layout=True), table, users).count()
+    with _lookups(spark):
+        return _users_rows(table.read(spark, layout=True), table, users).count()
+
+
+def files_of(spark: SparkSession, table: Table, users: DataFrame) -> list[Row]:
+    """The files that hold rows of ``users``: partition values, name, size, ``target`` (a number for the name)
+    and how many of the rows are theirs (``erased``). Spark's own listing of the table holds as many entries."""
+    scan = table.read(spark, layout=True).withColumn("file", file_name()).withColumn("size", F.col("_metadata.file_size"))
+    with _lookups(spark):
+        found = (_users_rows(scan, table, users).groupBy(*table.partition_by, "file", "size")
+                 .agg(F.count(F.lit(1)).alias("erased"))
+                 .withColumn("target", F.xxhash64("file").cast("string")).collect())
+    if len({r["target"] for r in found}) < len(found):
+        raise AssertionError("two files have one number")
+    return found
 
 
 def erase(spark: SparkSession, table: Table, users: DataFrame, verify: bool = True) -> EraseCost:
-    """Delete every row of ``users`` from ``table`` by rewriting only the touched partitions (K1)."""
+    """Delete every row of ``users`` from ``table`` by rewriting only the files that hold them (K1, K4)."""
     cost = EraseCost(table.name or table.path)
     recover(spark, table.path)
     if not table.exists(spark):
         return cost
     parts = list(table.partition_by)
-    scan = table.read(spark, layout=True)
-    theirs = _users_rows(scan, table, users)
-    touched = ([r[0] for r in theirs.select(partition_key(parts)).distinct().collect()] if parts
-               else [r[0] for r in theirs.select("user_id").limit(1).collect()])
-    if not touched:
+    found = files_of(spark, table, users)
+    if not found:
         return cost
-    in_scope = in_partitions(parts, touched) if parts else F.lit(True)
-
-    # Cost and emptiness per partition in one pass over the touched partitions; only one row
-    # per touched partition reaches the driver.
-    scoped = (table.read(spark, layout=True).where(in_scope)
-              .withColumn("_file", F.col("_metadata.file_path"))
-              .withColumn("_size", F.col("_metadata.file_size")))
-    per_part = (_flag_users(scoped, table, users)
-                .groupBy(*parts, "_file", "_size")
-                .agg(F.count(F.lit(1)).alias("rows"),
-                     F.sum(F.col("_erase").cast("int")).cast("bigint").alias("erased"))
-                .groupBy(*parts)
-                .agg(F.count(F.lit(1)).alias("files"), F.sum("_size").alias("bytes"),
-                     F.sum("rows").alias("rows"), F.sum("erased").alias("erased"),
-                     F.min("_file").alias("sample_file"))
-                .collect())
-    emptied = [r for r in per_part if r["rows"] == r["erased"]]
-    cost.touched = [tuple(r[c] for c in parts) for r in per_part]
-    cost.partitions_touched = len(per_part)
-    cost.partitions_emptied = len(emptied)
-    cost.files_rewritten = sum(r["files"] for r in per_part)
-    cost.rows_rewritten = sum(r["rows"] for r in per_part)
-    cost.bytes_rewritten = sum(r["bytes"] for r in per_part)
-    cost.rows_deleted = sum(r["erased"] for r in per_part)
-
-    survivors = (_flag_users(table.read(spark, layout=True).where(in_scope), table, users)
-                 .where(~F.col("_erase")).drop("_erase"))
-    if parts:
-        if len(emptied) < len(per_part):
-            table.write(survivors, mode="overwrite", dynamic=True)
-        for r in emptied:
-            rel = fs.relative_to(spark, table.path, r["sample_file"])
-            if not rel:
-                raise AssertionError(f"{table.path}: data file outside any partition folder")
-            fs.delete(spark, f"{table.path}/{rel}")
-    else:
-        staged = table.at(f"{table.path.rstrip('/')}__erase_{uuid.uuid4().hex[:10]}")
-        staged.write(survivors, mode="overwrite")
-        data = lambda p: [n for n in fs.list_names(spark, p) if not n.startswith(("_", "."))]
-        swap_folders(spark, table.path,
-                     [(f"{staged.path}/{n}", f"{table.path.rstrip('/')}/{n}") for n in data(staged.path)],
-                     [f"{table.path.rstrip('/')}/{n}" for n in data(table.path)])
-        fs.delete(spark, staged.path)
+    cost.touched = sorted({tuple(r[c] for c in parts) for r in found}, key=str)
+    cost.partitions_touched = len(cost.touched)
+    cost.files_rewritten = len(found)
+    cost.bytes_rewritten = sum(r["size"] for r in found)
+    cost.rows_deleted = sum(r["erased"] for r in found)
+
+    old = {r["target"]: fs.plain(r["file"]) for r in found}
+    rows = table.read_files(spark, list(old.values())).withColumn("target", F.xxhash64(file_name()).cast("string"))
+    kept = rows.join(users, "user_id", "left_anti")
+    stage = stage_path(table.path, "erase")
+    written = stage_files(table, kept, stage)
+    if written[0]:
+        check_stage(spark, table, stage, written)
+    cost.rows_rewritten = written[0] + cost.rows_deleted
+    staged = staged_files(spark, stage)
+    for target, file in old.items():
+        if target in staged:
+            fs.replace(spark, staged[target], file)
+        else:
+            fs.delete(spark, file, recursive=False)
+            folder = file.rsplit("/", 1)[0]
+            if parts and not fs.data_files(spark, folder):
+                fs.delete(spark, folder)
+                cost.partitions_emptied += 1
+    fs.delete(spark, stage)
     spark.catalog.refreshByPath(table.path)
     if verify:
         left = remaining_rows(spark, table, users)

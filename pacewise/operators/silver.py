@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pacewise.operators.maintenance import in_partitions, partition_key
 from pacewise.schemas import DIM_CAMPAIGN_SCHEMA, EVENT_COLUMNS, conform
+from pacewise.sources.tables import Table
 
 # Earliest ingest wins. Redeliveries carry identical values, so the extra keys only make the
 # choice deterministic and never change a non-tied result.
@@ -33,6 +35,26 @@ def fact_event(bronze: DataFrame) -> DataFrame:
     return deduplicated(bronze).select(*EVENT_COLUMNS)
 
 
+def merge_events(spark: SparkSession, silver: Table, batch: DataFrame) -> int:
+    """Adds to ``silver`` the events of a bronze batch that it does not hold yet (L3, I6); the rows added.
+
+    The batch alone is deduplicated and compared with the (day, user bucket) partitions that its events
+    fall into, late ones included; no other partition is read and no file is rewritten. Copies of an event
+    carry equal values (redelivery), so they meet in one partition and the first one merged, the
+    earliest ingested, stays. Merging a batch again adds nothing, also after a run that was cut short.
+    """
+    parts = list(silver.partition_by)
+    fresh = silver.with_layout(fact_event(batch))
+    keys = [r[0] for r in fresh.select(partition_key(parts)).distinct().collect()]
+    if not keys:
+        return 0
+    spark.catalog.refreshByPath(silver.path)
+    held = silver.read(spark, layout=True).where(in_partitions(parts, keys)).select("event_id")
+    added = silver.write(fresh.join(held, "event_id", "left_anti"), mode="append")
+    spark.catalog.refreshByPath(silver.path)
+    return added
+
+
 def dim_campaign(snapshot: DataFrame) -> DataFrame:
     """Campaign snapshot (ISO date strings) -> 7-column dimension."""
     out = snapshot.selectExpr(

@@ -1,4 +1,4 @@
-"""Named table builders and groups in dependency order (K11), with read-back checks.
+"""Named table builders and groups in dependency order (K11), with a check of the rows written.
 
 ``run(ctx, "all")`` rebuilds dimension, silver and the three gold tables; ``"maintenance"``
 compacts every table. Each builder reads its inputs from the lake and fully replaces its
@@ -29,8 +29,8 @@ class BuildContext:
     log: Callable[[str], None] = lambda msg: None
 
 
-def _checked(ctx: BuildContext, name: str, must_have_rows: bool = True) -> int:
-    n = ctx.lake.count(name)
+def _checked(ctx: BuildContext, name: str, n: int, must_have_rows: bool = True) -> int:
+    """``n`` rows were written, as the writing tasks counted them: a build without rows is an error."""
     if must_have_rows and n <= 0:
         raise AssertionError(f"{name} is empty after its build; look at the tables it reads")
     ctx.log(f"[{name}] wrote {n} rows")
@@ -39,8 +39,7 @@ def _checked(ctx: BuildContext, name: str, must_have_rows: bool = True) -> int:
 
 def build_bronze_seed(ctx: BuildContext) -> int:
     """Land the fixture bronze (derived from the given events) as batch 0 of tag ``seed``."""
-    write_batch(ctx.lake["bronze"], given.bronze(ctx.spark, ctx.sf_dir), "seed", 0)
-    return _checked(ctx, "bronze")
+    return _checked(ctx, "bronze", write_batch(ctx.lake["bronze"], given.bronze(ctx.spark, ctx.sf_dir), "seed", 0))
 
 
 def build_dim_campaign(ctx: BuildContext) -> int:
@@ -48,29 +47,26 @@ def build_dim_campaign(ctx: BuildContext) -> int:
         dim = silver.dim_campaign(read_campaign_snapshot(ctx.spark, ctx.campaign_snapshot))
     else:
         dim = given.dim(ctx.spark, ctx.sf_dir)
-    ctx.lake.write("dim_campaign", dim)
-    return _checked(ctx, "dim_campaign")
+    return _checked(ctx, "dim_campaign", ctx.lake.write("dim_campaign", dim))
 
 
 def build_fact_event(ctx: BuildContext) -> int:
-    ctx.lake.write("silver", silver.fact_event(ctx.lake.read("bronze")))
-    return _checked(ctx, "silver", must_have_rows=False)
+    n = ctx.lake.write("silver", silver.fact_event(ctx.lake.read("bronze")))
+    return _checked(ctx, "silver", n, must_have_rows=False)
 
 
 def build_delivery(ctx: BuildContext) -> int:
-    ctx.lake.write("delivery", gold.impression_delivery(ctx.lake.read("silver")))
-    return _checked(ctx, "delivery")
+    return _checked(ctx, "delivery", ctx.lake.write("delivery", gold.impression_delivery(ctx.lake.read("silver"))))
 
 
 def build_fill(ctx: BuildContext) -> int:
-    ctx.lake.write("fill", gold.inventory_fill(ctx.lake.read("silver")))
-    return _checked(ctx, "fill")
+    return _checked(ctx, "fill", ctx.lake.write("fill", gold.inventory_fill(ctx.lake.read("silver"))))
 
 
 def build_pacing(ctx: BuildContext) -> int:
     """Pacing from the (small) fill table; equal to computing it from silver."""
-    ctx.lake.write("pacing", gold.campaign_pacing_from_fill(ctx.lake.read("fill"), ctx.lake.read("dim_campaign")))
-    return _checked(ctx, "pacing")
+    pacing = gold.campaign_pacing_from_fill(ctx.lake.read("fill"), ctx.lake.read("dim_campaign"))
+    return _checked(ctx, "pacing", ctx.lake.write("pacing", pacing))
 
 
 def run_maintenance(ctx: BuildContext) -> dict:

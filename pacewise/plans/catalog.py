@@ -48,6 +48,7 @@ PURE: dict[str, Query] = {
     "amplified_events": lambda s, d: analyst.amplify(given.silver(s, d)),
     "orphan_impressions": lambda s, d: checks.orphan_impressions(given.silver(s, d)),
     "unjoined_events": lambda s, d: checks.unjoined_events(given.silver(s, d), given.dim(s, d)),
+    "delivery_matches_impressions": lambda s, d: checks.delivery_matches_impressions(given.silver(s, d), _delivery(s, d)),
     "nesting_violations": lambda s, d: checks.nesting_violations(_delivery(s, d)),
     "negative_fill": lambda s, d: checks.negative_fill(_fill(s, d)),
     "pacing_deltas": lambda s, d: checks.pacing_deltas(_pacing(s, d)),
@@ -78,6 +79,13 @@ def _side_effect_queries() -> dict[str, Query]:
         "stream_bronze": jobs.streamed_bronze,
         "stream_fact_event": jobs.streamed_silver,
         "compacted_silver": jobs.compacted_silver,
+        "compacted_bronze": jobs.compacted_bronze,
+        "reconciled_silver": jobs.reconciled_silver,
+        "incremental_silver": jobs.incremental_silver,
+        "stream_broken_bronze": jobs.stream_broken_bronze,
+        "layouts_agree": jobs.layouts_agree,
+        "delete_ratio": jobs.delete_ratio,
+        "deferred_erasure": jobs.deferred_erasure,
         # rows-only: results depend on the physical file layout
         "layout_report": jobs.layout_report,
         "scan_volume": jobs.scan_volume,

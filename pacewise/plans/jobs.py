@@ -18,6 +18,7 @@ from pacewise.sources import given
 from pacewise.sources.campaigns import land_campaign_snapshot, read_campaign_snapshot
 from pacewise.sources.tables import Lake, silver_table
 from pacewise.streaming import bronze as stream
+from pacewise.streaming import ingest
 
 _MEMO: dict[tuple, object] = {}
 
@@ -192,3 +193,104 @@ def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     df.repartition(4).write.mode("overwrite").partitionBy(*table.partition_by).parquet(table.path)
     compact(spark, table, min_input_files=MIN_INPUT_FILES, sort=True)
     return table.read(spark)
+
+
+def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze landed as many small files beside one large file a day, packed to files of a target size (K6).
+
+    A file's size is known only when it is written, so the target is taken from the files themselves:
+    small ones are those below half of the mean of the days' large files.
+    """
+    table = Lake(spark, fresh_dir(spark, "compaction"))["bronze"]
+    rows = table.with_layout(given.bronze(spark, sf_dir), stream_tag="seed", batch_id=0).withColumn("kind", F.pmod(F.xxhash64("request_id"), F.lit(2)))
+    large, small = rows.where("kind = 0").drop("kind"), rows.where("kind = 1").drop("kind")
+    table.write(large)
+    large_bytes = int(layout.file_stats(spark, table).agg(F.avg("file_size")).first()[0])
+    before = {r["file_path"] for r in layout.file_stats(spark, table).select("file_path").collect()}
+    keys = ["ingest_date", F.pmod(F.xxhash64("user_id"), F.lit(8))]
+    small.repartition(16, *keys).write.mode("append").options(**table.file_options).partitionBy(*table.partition_by).parquet(table.path)
+    spark.catalog.refreshByPath(table.path)
+    first = compact(spark, table, MIN_INPUT_FILES, sort=True, small_bytes=large_bytes // 2, target_bytes=large_bytes)
+    second = compact(spark, table, MIN_INPUT_FILES, sort=True, small_bytes=large_bytes // 2, target_bytes=large_bytes)
+    after = {r["file_path"] for r in layout.file_stats(spark, table).select("file_path").collect()}
+    if not first["partitions"] or second["partitions"] or not before <= after:
+        raise AssertionError(f"compaction: {first}, then {second}; {len(before - after)} large files rewritten")
+    return table.read(spark)
+
+
+# --- deferred erasure, applied (K3) -------------------------------------------------------------------
+def reconciled_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a deferred erasure of the top user was applied to the files of every layer."""
+    lake = seeded_lake(spark, sf_dir, "reconcile")
+    erase.request_erasure(spark, lake, _top_user(lake.read("silver")))
+    erase.reconcile(spark, lake)
+    return lake.read("silver")
+
+
+# --- incremental silver (L3, I6) ----------------------------------------------------------------------
+def incremental_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The landed fixture, ingested in four batches; each is merged into silver as it comes."""
+    def make() -> Lake:
+        lake = Lake(spark, fresh_dir(spark, "lake-incremental"))
+        landing = lake.folder("landing", "ad_events")
+        stream.land_envelopes(given.bronze(spark, sf_dir), landing)
+        raw = stream.file_source(spark, landing, max_files_per_trigger=1)
+        ingest.ingest(spark, lake, raw, available_now=True, silver=True, log=lambda line: None)
+        return lake
+    return _memo(spark, sf_dir, "incremental", make)
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver merged batch by batch: late events and redelivered copies fall into other batches than the first."""
+    return incremental_lake(spark, sf_dir).read("silver")
+
+
+def stream_broken_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a stream in which the records without an event id are cut off (I5): such a record is an
+    all-NULL row that keeps its broker time; without ``ingest_ts``."""
+    lake = Lake(spark, fresh_dir(spark, "lake-broken"))
+    landing = lake.folder("landing", "ad_events")
+    stream.land_envelopes(given.bronze(spark, sf_dir), landing, broken=F.col("event_id").isNull())
+    ingest.ingest(spark, lake, stream.file_source(spark, landing), available_now=True, log=lambda line: None)
+    return lake.read("bronze").select(*[f.name for f in BRONZE_SCHEMA.fields if f.name != "ingest_ts"])
+
+
+# --- checks of jobs (N9-N11) --------------------------------------------------------------------------
+def layouts_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both layouts, and whether the partitioned one has fewer files and its user query opens fewer bytes."""
+    study = layout_study(spark, sf_dir)
+    sizes = {}
+    uid = top_user_id(study.optimized.read(spark))
+    for name, table in (("bad", study.bad), ("optimized", study.optimized)):
+        stats = layout.file_stats(spark, table).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+        opened = (layout.prune_by_user(table.read(spark, layout=True).withColumn("file", F.col("_metadata.file_path"))
+                                       .withColumn("size", F.col("_metadata.file_size")), uid)
+                  .groupBy("file", "size").agg(F.count(F.lit(1))).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("opened")))
+        sizes[name] = stats.select("files", "rows").withColumn("opened", opened.scalar())
+    bad, optimized = (sizes[n].select(*[F.col(c).alias(f"{n}_{c}") for c in sizes[n].columns]) for n in sizes)
+    both = bad.join(optimized)  # one row each
+    return both.select("bad_rows", "optimized_rows", (F.col("optimized_files") < F.col("bad_files")).alias("fewer_files"),
+                       (F.col("optimized_opened") < F.col("bad_opened")).alias("user_query_reads_less"))
+
+
+def delete_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The erased user, the rows deleted from each copy, and whether the day-only copy rewrote 1.5 times as many rows."""
+    cost = delete_cost(spark, sf_dir)
+    of = lambda name, c: F.max(F.when(F.col("table") == name, F.col(c)))
+    return cost.groupBy("user_id").agg(
+        of("bucketed", "rows_deleted").alias("deleted_bucketed"), of("unbucketed", "rows_deleted").alias("deleted_unbucketed"),
+        (of("unbucketed", "rows_rewritten") > 1.5 * of("bucketed", "rows_rewritten")).alias("over_floor"))
+
+
+def deferred_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deferred erasure of the top user: rows readers see of them, rows still stored, and whether all files stay."""
+    base = seeded_lake(spark, sf_dir)
+    lake = Lake(spark, base.root)
+    lake.tables["tombstones"] = base["tombstones"].at(fresh_dir(spark, "tombstones"), "tombstones")
+    users = erase.frozen_users(spark, _top_user(lake.read("silver")))
+    files = lambda: {(r["file_path"], r["file_size"]) for r in layout.file_stats(spark, lake["silver"]).collect()}
+    before = files()
+    erase.request_erasure(spark, lake, users)
+    stored = lake.read("silver").join(users, "user_id", "left_semi").agg(F.count(F.lit(1))).scalar()
+    seen = erase.live(spark, lake, "silver").join(users, "user_id", "left_semi").agg(F.count(F.lit(1))).scalar()
+    return users.select("user_id", seen.alias("readable_rows"), stored.alias("stored_rows"), F.lit(files() == before).alias("files_unchanged"))

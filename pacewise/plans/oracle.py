@@ -240,6 +240,18 @@ WHERE event_type = 'impression' GROUP BY campaign_id""", *BASE, _AMP),
     "stream_bronze": _q("SELECT * EXCLUDE (ingest_ts) FROM bronze", _BRONZE),
     "stream_fact_event": _q("SELECT * FROM silver", *BASE),
     "compacted_silver": _q("SELECT * FROM silver", *BASE),
+    "compacted_bronze": _q("SELECT * FROM bronze", _BRONZE),
+    "reconciled_silver": _q("SELECT * FROM silver", *FORGET),
+    "incremental_silver": _q("SELECT * FROM silver", *BASE),
+    "stream_broken_bronze": _q("SELECT if(event_id IS NULL, NULL, COLUMNS(* EXCLUDE (kafka_ts, ingest_ts))), kafka_ts FROM bronze", _BRONZE),
+    "layouts_agree": _q("""SELECT count(*) AS bad_rows, count(*) AS optimized_rows, true AS fewer_files,
+       true AS user_query_reads_less FROM amp""", *BASE, _AMP),
+    "delete_ratio": _q("""SELECT user_id, count(*) AS deleted_bucketed, count(*) AS deleted_unbucketed, true AS over_floor
+FROM silver GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1""", *BASE),
+    "deferred_erasure": _q("""SELECT user_id, CAST(0 AS BIGINT) AS readable_rows, count(*) AS stored_rows, true AS files_unchanged
+FROM silver GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1""", *BASE),
+    "delivery_matches_impressions": _q("""SELECT (SELECT count(*) FROM delivery) AS delivery_rows,
+       (SELECT count(*) FROM silver WHERE event_type = 'impression') AS impressions""", *BASE, _DELIVERY),
 })
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -40,6 +42,26 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not rename {src} to {dst}")
 
 
+def replace(spark: SparkSession, src: str, dst: str) -> None:
+    """Moves the file ``src`` over ``dst`` in one step: a reader finds the old file or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(jvm.java.net.URI(qualify(spark, dst)), conf).rename(
+        jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst), options)
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Visible files directly under ``path``."""
+    return [f"{path.rstrip('/')}/{n}" for n in list_names(spark, path) if not n.startswith(("_", "."))]
+
+
+def plain(uri: str) -> str:
+    """A path that Spark and Hadoop take, from the escaped one in ``_metadata.file_path``."""
+    return unquote(uri)
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds at least one visible (not ``_``/``.``-prefixed) file."""
     fs, p = _path(spark, path)
@@ -60,10 +82,13 @@ def qualify(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _path(spark, path)
+    """Writes beside ``path`` first, so that a driver lost meanwhile leaves no half of it."""
+    parent, name = path.rsplit("/", 1)
+    fs, p = _path(spark, f"{parent}/.{name}.tmp")
     out = fs.create(p, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    replace(spark, f"{parent}/.{name}.tmp", path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,6 +32,10 @@ from pacewise.sources import fs
 
 Derivation = Callable[[], Column]
 
+# Bronze and delivery have no user partition: their files are sorted by user, so of a day's files few hold
+# one user, and each row group has a Bloom filter on it.
+USER_KEYS = ("user_id",)
+
 
 @dataclass(frozen=True)
 class Table:
@@ -44,6 +48,7 @@ class Table:
     derive: tuple[tuple[str, Derivation], ...] = ()
     cluster_by: tuple[str, ...] = ()
     name: str = ""
+    lookup_by: tuple[str, ...] = ()  # columns with a Parquet Bloom filter in every row group
 
     @property
     def read_schema(self) -> StructType:
@@ -54,7 +59,7 @@ class Table:
     def at(self, path: str, name: str | None = None) -> Table:
         """The same table definition at another location (a copy, a staging folder)."""
         return Table(path, self.contract, self.partition_by, self.layout, self.derive,
-                     self.cluster_by, name or self.name)
+                     self.cluster_by, name or self.name, self.lookup_by)
 
     def exists(self, spark: SparkSession) -> bool:
         return fs.has_data_files(spark, self.path)
@@ -80,13 +85,25 @@ class Table:
                 out = out.withColumn(name, fn())
         return out
 
+    def read_files(self, spark: SparkSession, files: list[str]) -> DataFrame:
+        """``read(layout=True)`` of some of the table's files alone."""
+        return (spark.read.schema(self.read_schema).option("basePath", self.path).parquet(*files)
+                .select(*[f.name for f in self.read_schema.fields]))
+
+    @property
+    def file_options(self) -> dict[str, str]:
+        """Writer options of the table's files: Bloom filters sized by the distinct values that a row group has."""
+        options = {"parquet.bloom.filter.adaptive.enabled": "true"} if self.lookup_by else {}
+        return options | {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.lookup_by}
+
     def write(self, df: DataFrame, mode: str = "overwrite", dynamic: bool = False,
-              check: bool = True, **values) -> None:
-        """Write ``df`` (contract columns, or contract + layout columns) to the table.
+              check: bool = True, **values) -> int:
+        """Write ``df`` (contract columns, or contract + layout columns) to the table; the rows written.
 
         Rows are rebalanced on the partition columns before the write: AQE splits a hot
         partition value over several tasks and merges small ones, so each task writes few,
-        well-sized files even when one key holds a large share of the rows.
+        well-sized files even when one key holds a large share of the rows. The rows are counted by the
+        writing tasks themselves (an observation behind the last shuffle, so a lost map task counts once).
         """
         present = set(df.columns)
         base = df.select(*[c.name for c in self.contract.fields])
@@ -99,12 +116,14 @@ class Table:
         out = out.hint("rebalance", *self.partition_by) if self.partition_by else out.hint("rebalance")
         if self.partition_by or self.cluster_by:
             out = out.sortWithinPartitions(*self.partition_by, *self.cluster_by)
-        writer = out.write.mode(mode)
+        seen = Observation()
+        writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**self.file_options)
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path)
+        return int(seen.get["rows"])
 
     def write_unpartitioned_files(self, df: DataFrame, files: int = BAD_LAYOUT_FILES) -> None:
         """Forced file count, no partitioning (A16): the deliberately bad layout."""
@@ -118,10 +137,10 @@ def _fields(schema: StructType) -> tuple[str, ...]:
 
 def _table(path: str, contract: StructType, layout_key: str | None,
            derive: tuple[tuple[str, Derivation], ...] = (), partition_by: tuple[str, ...] | None = None,
-           cluster_by: tuple[str, ...] = (), name: str = "") -> Table:
+           cluster_by: tuple[str, ...] = (), name: str = "", lookup_by: tuple[str, ...] = ()) -> Table:
     layout = LAYOUT_COLUMNS[layout_key] if layout_key else StructType()
     parts = partition_by if partition_by is not None else _fields(layout)
-    return Table(path, contract, parts, layout, derive, cluster_by, name)
+    return Table(path, contract, parts, layout, derive, cluster_by, name, lookup_by)
 
 
 def silver_table(path: str, bucketed: bool = True, name: str = "silver") -> Table:
@@ -149,13 +168,13 @@ class Lake:
         r = self.root
         self.tables: dict[str, Table] = {
             "bronze": _table(f"{r}/bronze/ad_events_raw", BRONZE_SCHEMA, "bronze",
-                             (("ingest_date", lambda: utc_day("ingest_ts")),), name="bronze"),
+                             (("ingest_date", lambda: utc_day("ingest_ts")),), cluster_by=USER_KEYS, name="bronze", lookup_by=USER_KEYS),
             "silver": silver_table(f"{r}/silver/fact_event"),
             "dim_campaign": _table(f"{r}/silver/dim_campaign", DIM_CAMPAIGN_SCHEMA, None,
                                    name="dim_campaign"),
             "delivery": _table(f"{r}/gold/fact_impression_delivery", DELIVERY_SCHEMA, "delivery",
                                (("impression_date", lambda: utc_day("impression_ts")),),
-                               name="delivery"),
+                               cluster_by=USER_KEYS, name="delivery", lookup_by=USER_KEYS),
             "fill": _table(f"{r}/gold/inventory_fill", FILL_SCHEMA, "fill",
                            (("event_date", lambda: utc_day("event_hour")),), name="fill"),
             "pacing": _table(f"{r}/gold/campaign_pacing", PACING_SCHEMA, None,
@@ -170,8 +189,8 @@ class Lake:
     def read(self, name: str, layout: bool = False) -> DataFrame:
         return self.tables[name].read(self.spark, layout)
 
-    def write(self, name: str, df: DataFrame, **kw) -> None:
-        self.tables[name].write(df, **kw)
+    def write(self, name: str, df: DataFrame, **kw) -> int:
+        return self.tables[name].write(df, **kw)
 
     def count(self, name: str) -> int:
         """Read-back count after a write."""

@@ -13,7 +13,9 @@ once, and the folder is plain Parquet that batch jobs may later erase or compact
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -77,18 +79,22 @@ def batch_table(bronze: Table, tag: str, batch_id: int) -> Table:
     layout = StructType([LAYOUT_COLUMNS["bronze"]["ingest_date"]])
     return Table(f"{bronze.path}/stream_tag={tag}/batch_id={batch_id}", BRONZE_SCHEMA,
                  ("ingest_date",), layout, (("ingest_date", lambda: utc_day("ingest_ts")),),
-                 name=f"{bronze.name}[{tag}/{batch_id}]")
+                 bronze.cluster_by, f"{bronze.name}[{tag}/{batch_id}]", bronze.lookup_by)
 
 
-def write_batch(bronze: Table, df: DataFrame, tag: str, batch_id: int) -> None:
-    """Static overwrite of exactly this batch's folder (idempotent on replay)."""
-    batch_table(bronze, tag, batch_id).write(df, mode="overwrite")
+def write_batch(bronze: Table, df: DataFrame, tag: str, batch_id: int) -> int:
+    """Static overwrite of exactly this batch's folder (idempotent on replay); the rows written."""
+    return batch_table(bronze, tag, batch_id).write(df, mode="overwrite")
 
 
 def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, tag: str,
-          processing_time: str | None = "10 seconds", available_now: bool = False) -> StreamingQuery:
+          processing_time: str | None = "10 seconds", available_now: bool = False,
+          on_batch: Callable[[DataFrame], object] | None = None, name: str | None = None) -> StreamingQuery:
     """Start the ingestion.
 
+    ``on_batch`` gets each batch as bronze holds it, after it was written; a batch whose ``on_batch`` failed
+    is replayed as a whole, so it must bear being called again.
+
     Batch ids restart at 0 when a checkpoint is lost, which would overwrite earlier batches of
     the same tag; so a missing checkpoint with existing data for ``tag`` is refused.
     """
@@ -100,10 +106,14 @@ def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, t
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         write_batch(bronze, batch_df, tag, batch_id)
+        if on_batch:
+            on_batch(batch_table(bronze, tag, batch_id).read(spark))
 
     writer = (parse(raw).writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(sink))
+    if name:
+        writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
 
@@ -111,11 +121,16 @@ def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, t
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def land_envelopes(events: DataFrame, landing_dir: str, files: int = 4) -> None:
+def land_envelopes(events: DataFrame, landing_dir: str, files: int | None = 4, broken: Column | None = None) -> None:
     """Write bronze-shaped rows as JSON envelopes (the file stand-in for the topic), with
-    UTC ISO-8601 timestamps at microsecond precision, as a producer would send them."""
+    UTC ISO-8601 timestamps at microsecond precision, as a producer would send them.
+
+    The payload of a ``broken`` row ends too early, as of a record cut off. Without ``files`` the input's
+    own partitions are the files.
+    """
     fields = [F.col(c).cast("timestamp").alias(c) if c == "event_ts" else F.col(c) for c in EVENT_COLUMNS]
     payload = F.to_json(F.struct(*fields), {"timestampFormat": ISO_UTC})
-    (events.select(F.col("user_id").alias("key"), payload.alias("value"),
-                   F.col("kafka_ts").cast("timestamp").alias("timestamp"))
-     .repartition(files).write.mode("overwrite").option("timestampFormat", ISO_UTC).json(landing_dir))
+    if broken is not None:
+        payload = F.when(broken, F.substring(payload, F.lit(1), F.length(payload) - 2)).otherwise(payload)
+    rows = events.select(F.col("user_id").alias("key"), payload.alias("value"), F.col("kafka_ts").cast("timestamp").alias("timestamp"))
+    ((rows.repartition(files) if files else rows).write.mode("overwrite").option("timestampFormat", ISO_UTC).json(landing_dir))
