@@ -51,16 +51,15 @@ def bronze_smoke(bronze: DataFrame) -> DataFrame:
 def silver_checks(silver: DataFrame, dim: DataFrame) -> DataFrame:
     """Events, distinct events, campaigns and events joining a campaign (L11: B16, D4, D5, C5).
 
-    The dimension-side counts are scalar subqueries.
+    One pass over the events: each meets how many dimension rows its campaign has. The dimension's own
+    count is a scalar subquery.
     """
     campaigns = dim.agg(F.count(F.lit(1))).scalar()
-    joinable = (silver.select("campaign_id")
-                .join(dim.select("campaign_id"), "campaign_id")
-                .agg(F.count(F.lit(1))).scalar())
-    return (silver.agg(F.count(F.lit(1)).alias("events"),
-                       F.countDistinct("event_id").alias("distinct_events"))
-            .select("events", "distinct_events", campaigns.alias("campaigns"),
-                    joinable.alias("joinable_events")))
+    held = dim.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("held"))
+    return (silver.select("event_id", "campaign_id").join(held, "campaign_id", "left")
+            .agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("distinct_events"),
+                 F.coalesce(F.sum("held"), F.lit(0)).alias("joinable_events"))
+            .select("events", "distinct_events", campaigns.alias("campaigns"), "joinable_events"))
 
 
 def top_users(events: DataFrame, k: int = 1) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacewise.constants import QUARTILE_TYPES
-from pacewise.functions import any_true, count_when, inclusive_days, pace_label, ratio, utc_day, utc_hour
+from pacewise.functions import count_when, inclusive_days, pace_label, ratio, utc_day, utc_hour
 from pacewise.schemas import DELIVERY_SCHEMA, FILL_SCHEMA, PACING_SCHEMA, conform
 
 DELIVERY_KEYS = ("request_id", "impression_ts", "campaign_id", "creative_id", "user_id",
@@ -16,21 +16,28 @@ DELIVERY_KEYS = ("request_id", "impression_ts", "campaign_id", "creative_id", "u
 def impression_delivery(silver: DataFrame) -> DataFrame:
     """One row per impression with quartile-completion flags.
 
-    Quartile rows are folded to one flag row per request_id before the join (partial
-    aggregation map-side, so a hot request cannot flood a reducer); both join sides then
-    shuffle on request_id and the final group-by reuses that partitioning. The final
-    group-by keeps the grain of distinct impression tuples per request.
+    One pass over silver makes the rows of both join sides: impressions grouped by their eight columns,
+    quartiles by their request alone, folded map-side. That shuffle is on all eight columns, so neither a
+    hot request nor the rows without one gather in a task, and both sides of the join reuse it.
+    Impressions without a request id can't match and go around the join; a request with very many
+    impressions meets one flag row, so its side may be split by AQE.
     """
-    imps = (silver.where(F.col("event_type") == "impression")
-            .select("request_id", F.col("event_ts").alias("impression_ts"), "campaign_id",
-                    "creative_id", "user_id", "device", "geo", "placement"))
-    flags = (silver.where(F.col("event_type").isin(*QUARTILE_TYPES))
-             .groupBy("request_id")
-             .agg(*[F.bool_or(F.col("event_type") == q).alias(f"has_{q}") for q in QUARTILE_TYPES]))
-    out = (imps.join(flags, "request_id", "left")
-           .groupBy(*DELIVERY_KEYS)
-           .agg(*[any_true(F.col(f"has_{q}")).alias(f"completed_{q}") for q in QUARTILE_TYPES]))
-    return conform(out, DELIVERY_SCHEMA)
+    imp = F.col("event_type") == "impression"
+    of_imp = [F.when(imp, F.col("event_ts")).alias("impression_ts"),
+              *[F.when(imp, F.col(c)).alias(c) for c in DELIVERY_KEYS if c not in ("request_id", "impression_ts")]]
+    rows = (silver.where(F.col("event_type").isin("impression", *QUARTILE_TYPES))
+            .select("request_id", *of_imp, imp.alias("shown"), "event_type")
+            .groupBy(*DELIVERY_KEYS, "shown")
+            .agg(*[F.bool_or(F.col("event_type") == q).alias(f"has_{q}") for q in QUARTILE_TYPES]))
+    own = [f"has_{q}" for q in QUARTILE_TYPES]
+    flags = rows.where(~F.col("shown") & F.col("request_id").isNotNull()).select("request_id", *[F.col(c).alias(f"any_{c}") for c in own])
+    shown = rows.where("shown")
+    # an impression's own flags are false; naming them keeps both sides on one shuffle
+    matched = shown.where(F.col("request_id").isNotNull()).join(flags, "request_id", "left").select(
+        *DELIVERY_KEYS, *[(F.col(f"has_{q}") | F.coalesce(F.col(f"any_has_{q}"), F.lit(False))).alias(f"completed_{q}") for q in QUARTILE_TYPES])
+    alone = shown.where(F.col("request_id").isNull()).select(
+        *DELIVERY_KEYS, *[F.col(f"has_{q}").alias(f"completed_{q}") for q in QUARTILE_TYPES])
+    return conform(matched.unionByName(alone), DELIVERY_SCHEMA)
 
 
 def inventory_fill(silver: DataFrame) -> DataFrame:
@@ -85,7 +92,8 @@ def pacing_from_daily(daily: DataFrame, dim: DataFrame) -> DataFrame:
     sum, and a campaign starting after ``as_of`` has no rows. The running-sum window is
     partitioned by campaign and holds at most one row per flight day.
     """
-    as_of = daily.agg(F.max("pacing_date")).scalar()
+    # every day has impressions; reading the count as well lets the subquery share the counts' shuffle
+    as_of = daily.agg(F.max(F.when(F.col("delivered_impressions") > 0, F.col("pacing_date")))).scalar()
     calendar = (dim.select("campaign_id", "budget", "flight_start", "flight_end")
                 .select("*", F.explode(F.sequence("flight_start", "flight_end",
                                                   F.expr("INTERVAL 1 DAY"))).alias("pacing_date"))
