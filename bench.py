@@ -74,7 +74,8 @@ def main() -> None:
                             ("campaign_rollup", lambda df=df: layout.campaign_rollup(df))):
             times = [_timed(lambda: make().collect())[0] for _ in range(RUNS)]
             q[f"{qname}_{label}"] = statistics.median(times)
-            details[f"scan_{qname}_{label}"] = layout.scan_metrics(make())
+        for r in layout.scan_volume(spark, table, uid, day).collect():
+            details[f"scan_{r['query'].replace(' ', '_').replace('-', '_')}_{label}"] = {k: r[k] for k in ("files_read", "file_bytes", "column_bytes")}
     for r in layout.layout_report(spark, study.bad, "bad").unionByName(
             layout.layout_report(spark, study.optimized, "optimized")).collect():
         details[f"layout_{r['layout']}"] = {k: r[k] for k in ("files", "total_bytes", "rows")}

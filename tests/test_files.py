@@ -5,9 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import event, silver_df
+from helpers import children, event, metric, silver_df
 from pacewise.operators import erase, maintenance
-from pacewise.operators.layout import _metric, file_stats
+from pacewise.operators.layout import file_stats
 from pacewise.session import fresh_dir
 from pacewise.sources import fs
 from pacewise.sources.tables import Lake, flat_table, silver_table
@@ -63,9 +63,8 @@ def test_bloom_filters_skip_files_without_the_users(spark, count):
             while stack:
                 node = stack.pop()
                 if node.getClass().getSimpleName() == "FileSourceScanExec":
-                    rows += _metric(node, "numOutputRows")
-                from pacewise.operators.layout import _children
-                stack.extend(_children(node))
+                    rows += metric(node, "numOutputRows")
+                stack.extend(children(node))
         return len(got), rows
 
     plain = lake["bronze"]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
+from helpers import scan_metrics
 from pacewise.operators import layout
 from pacewise.operators.maintenance import compact, fingerprint
 from pacewise.plans import jobs
@@ -31,8 +32,8 @@ def test_user_filter_prunes_to_one_bucket(spark, study):
     plan = q._jdf.queryExecution().sparkPlan().toString()
     part_filters = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
     assert "user_bucket" in part_filters      # the bucket literal became a static partition filter
-    bad_m = layout.scan_metrics(layout.user_filtered_scan(study.bad.read(spark), uid))
-    opt_m = layout.scan_metrics(q)
+    bad_m = scan_metrics(layout.user_filtered_scan(study.bad.read(spark), uid))
+    opt_m = scan_metrics(q)
     assert 0 < opt_m["file_bytes"] < bad_m["file_bytes"] / 5
     assert opt_m["files_read"] <= 30
 
@@ -40,7 +41,7 @@ def test_user_filter_prunes_to_one_bucket(spark, study):
 def test_date_range_prunes_days(spark, study):
     df = study.optimized.read(spark, layout=True)
     day = layout.first_day(df).first()["day"]
-    m = layout.scan_metrics(layout.date_range_scan(df, day))
+    m = scan_metrics(layout.date_range_scan(df, day))
     total = layout.file_stats(spark, study.optimized).count()
     assert 0 < m["files_read"] <= total * 3 / 30 + 16
 

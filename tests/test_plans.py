@@ -7,9 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from helpers import event, silver_df
+from helpers import children, event, silver_df
 from pacewise.operators import analyst, gold
-from pacewise.operators.layout import _children
 from pacewise.sources import given
 
 
@@ -20,7 +19,7 @@ def _nodes(df):
         node = stack.pop()
         seen.append((node.getClass().getSimpleName(), node.simpleString(200)))
         if node.getClass().getSimpleName() not in ("ReusedExchangeExec", "ReusedSubqueryExec"):
-            stack.extend(_children(node))
+            stack.extend(children(node))
     return seen
 
 
