@@ -18,7 +18,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from pacewise.functions import is_valid_user_id, user_bucket
+from pacewise.functions import is_valid_user_id, ratio, user_bucket
 from pacewise.operators import gold
 from pacewise.operators.maintenance import NULL_KEY, in_partitions, recover
 from pacewise.operators.rewrite import check_stage, file_name, stage_files, stage_path, staged_files
@@ -166,18 +166,47 @@ def erase(spark: SparkSession, table: Table, users: DataFrame, verify: bool = Tr
 
 
 # --- the erasure job (L12) -------------------------------------------------------------------------
-def refresh_fill_days(spark: SparkSession, lake: Lake, days: list) -> int:
-    """Recompute fill only for the silver days the erasure touched (K8, incremental).
+def fill_of(spark: SparkSession, lake: Lake, users: DataFrame) -> DataFrame:
+    """What ``users`` add to fill, checkpointed before their rows go (K8)."""
+    theirs = _users_rows(lake.read("silver", layout=True), lake["silver"], users)
+    checkpoint_root(spark)
+    return gold.inventory_fill(theirs).drop("fill_rate").checkpoint()
+
+
+_FILL_KEYS = ("campaign_id", "placement", "event_hour")
+
 
-    Fill is partitioned by the day of its hour, which is the day of the events it counts, so
-    the touched silver days map one-to-one onto fill partitions; they are replaced with
-    dynamic overwrite, and a day left without rows is deleted.
+def without_users(fill: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Fill less the users' counts; a bucket that only they were in is gone."""
+    side = theirs.select(*[F.col(c).alias(f"their_{c}") for c in theirs.columns])
+    same = F.lit(True)
+    for c in _FILL_KEYS:
+        same = same & F.col(c).eqNullSafe(F.col(f"their_{c}"))
+    left = lambda c: (F.col(c) - F.coalesce(F.col(f"their_{c}"), F.lit(0))).alias(c)
+    counts = fill.join(side, same, "left").select(*_FILL_KEYS, left("requests"), left("impressions"))
+    bad = (F.col("requests") < 0) | (F.col("impressions") < 0)
+    counts = counts.withColumn("requests", F.when(bad, F.raise_error(F.lit("fill holds fewer events than the users have"))).otherwise(F.col("requests")))
+    rest = counts.where((F.col("requests") > 0) | (F.col("impressions") > 0))
+    return rest.withColumn("fill_rate", ratio("impressions", "requests"))
+
+
+def refresh_fill_days(spark: SparkSession, lake: Lake, days: list, theirs: DataFrame | None = None) -> int:
+    """Bring fill up to date for the silver days the erasure touched (K8).
+
+    Fill is partitioned by the day of its hour, which is the day of the events it counts, so the touched
+    silver days map one-to-one onto fill partitions; they are replaced with dynamic overwrite, and a day
+    left without rows is deleted. With ``theirs`` (what the users had added) those counts are subtracted
+    and silver is not read; without it the days are counted from silver again.
     """
     if not days:
         return 0
     table = lake["fill"]
     scope = in_partitions(["event_date"], [NULL_KEY if d is None else d.isoformat() for d in days])
-    fresh = gold.inventory_fill(lake.read("silver", layout=True).where(scope))
+    if theirs is None:
+        fresh = gold.inventory_fill(lake.read("silver", layout=True).where(scope))
+    else:
+        fresh = without_users(lake.read("fill", layout=True).where(scope), theirs)
+    fresh = fresh.select(*[f.name for f in table.contract.fields]).checkpoint()  # the days it reads are replaced
     present = {r[0] for r in fresh.select(F.col("event_hour").cast("date")).distinct().collect()}
     if present:
         table.write(fresh, mode="overwrite", dynamic=True)
@@ -217,14 +246,14 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     """Erase ``users`` from every layer (L12: K1, K8, K9, K10, A12, H20).
 
     Order: bronze, silver, delivery (bronze first, or a silver rebuild would resurrect the
-    users), then fill is recomputed for the silver days touched and pacing from fill. Every table is attempted
+    users), then the users' counts are subtracted from fill and pacing is built from fill. Every table is attempted
     even after a failure; the audit row lists only the tables fully erased and verified, and
     the job raises at the end if any table failed. A marker in the lake tells a later run that one
     before it didn't finish; that run compares all of fill with silver, because the days which the
     failed one touched are no longer known.
     """
     users = frozen_users(spark, users)
-    marker = f"{lake['fill'].path.rstrip('/')}/_erase_unfinished"
+    marker = lake.folder("_control", "erase-unfinished")
     resumed = fs.exists(spark, marker)
     if not resumed:
         fs.write_text(spark, marker, "")
@@ -232,6 +261,7 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     failed: dict[str, str] = {}
     costs: dict[str, dict] = {}
     touched_days: list = []
+    theirs = None if resumed else fill_of(spark, lake, users)  # after a failed run it is not known any more
     for name in PII_TABLES:
         try:
             cost = erase(spark, lake[name], users)
@@ -245,7 +275,7 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
         try:
             if resumed:
                 touched_days = sorted({*touched_days, *stale_fill_days(lake)}, key=str)
-            refresh_fill_days(spark, lake, touched_days)
+            refresh_fill_days(spark, lake, touched_days, theirs)
             done.append("fill")
             rebuild_pacing(spark, lake)
             done.append("pacing")
@@ -254,6 +284,7 @@ def forget(spark: SparkSession, lake: Lake, users: DataFrame) -> dict:
     else:
         failed.update({n: "silver not erased; aggregates not rebuilt" for n in AGGREGATE_TABLES})
     record_erasure(spark, lake, users, done)
+    lake.refresh()
     if failed:
         raise RuntimeError(f"erasure incomplete for {sorted(failed)}: {failed}")
     fs.delete(spark, marker, recursive=False)

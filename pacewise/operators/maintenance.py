@@ -208,7 +208,8 @@ def compact_all(spark: SparkSession, lake: Lake, min_input_files: int = MIN_INPU
     report = {}
     for tag in [n.split("=", 1)[1] for n in fs.list_names(spark, lake["bronze"].path, "stream_tag=")]:
         report[f"bronze[{tag}] batches"] = merge_batches(spark, lake["bronze"], tag)
-    for name, table in lake.tables.items():
-        skip = "batch_id" if name == "bronze" else None
+    for name in lake.tables:
+        table, skip = lake[name], "batch_id" if name == "bronze" else None
         report[name] = compact(spark, table, min_input_files, sort=bool(table.cluster_by), skip_latest=skip)
+    lake.refresh()
     return report

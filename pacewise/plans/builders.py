@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pacewise.operators import gold, silver
 from pacewise.operators.maintenance import compact_all
@@ -29,17 +29,20 @@ class BuildContext:
     log: Callable[[str], None] = lambda msg: None
 
 
-def _checked(ctx: BuildContext, name: str, n: int, must_have_rows: bool = True) -> int:
-    """``n`` rows were written, as the writing tasks counted them: a build without rows is an error."""
-    if must_have_rows and n <= 0:
-        raise AssertionError(f"{name} is empty after its build; look at the tables it reads")
+def _replaced(ctx: BuildContext, name: str, df: DataFrame, must_have_rows: bool = True) -> int:
+    """A full replace; without the rows that must be there the build fails and the old table stays."""
+    n = ctx.lake.replace(name, df, must_have_rows)
     ctx.log(f"[{name}] wrote {n} rows")
     return n
 
 
 def build_bronze_seed(ctx: BuildContext) -> int:
     """Land the fixture bronze (derived from the given events) as batch 0 of tag ``seed``."""
-    return _checked(ctx, "bronze", write_batch(ctx.lake["bronze"], given.bronze(ctx.spark, ctx.sf_dir), "seed", 0))
+    n = write_batch(ctx.lake["bronze"], given.bronze(ctx.spark, ctx.sf_dir), "seed", 0)
+    if n <= 0:
+        raise AssertionError("bronze is empty after its seed; look at the given events")
+    ctx.log(f"[bronze] wrote {n} rows")
+    return n
 
 
 def build_dim_campaign(ctx: BuildContext) -> int:
@@ -47,26 +50,25 @@ def build_dim_campaign(ctx: BuildContext) -> int:
         dim = silver.dim_campaign(read_campaign_snapshot(ctx.spark, ctx.campaign_snapshot))
     else:
         dim = given.dim(ctx.spark, ctx.sf_dir)
-    return _checked(ctx, "dim_campaign", ctx.lake.write("dim_campaign", dim))
+    return _replaced(ctx, "dim_campaign", dim)
 
 
 def build_fact_event(ctx: BuildContext) -> int:
-    n = ctx.lake.write("silver", silver.fact_event(ctx.lake.read("bronze")))
-    return _checked(ctx, "silver", n, must_have_rows=False)
+    return _replaced(ctx, "silver", silver.fact_event(ctx.lake.read("bronze")), must_have_rows=False)
 
 
 def build_delivery(ctx: BuildContext) -> int:
-    return _checked(ctx, "delivery", ctx.lake.write("delivery", gold.impression_delivery(ctx.lake.read("silver"))))
+    return _replaced(ctx, "delivery", gold.impression_delivery(ctx.lake.read("silver")))
 
 
 def build_fill(ctx: BuildContext) -> int:
-    return _checked(ctx, "fill", ctx.lake.write("fill", gold.inventory_fill(ctx.lake.read("silver"))))
+    return _replaced(ctx, "fill", gold.inventory_fill(ctx.lake.read("silver")))
 
 
 def build_pacing(ctx: BuildContext) -> int:
     """Pacing from the (small) fill table; equal to computing it from silver."""
     pacing = gold.campaign_pacing_from_fill(ctx.lake.read("fill"), ctx.lake.read("dim_campaign"))
-    return _checked(ctx, "pacing", ctx.lake.write("pacing", pacing))
+    return _replaced(ctx, "pacing", pacing)
 
 
 def run_maintenance(ctx: BuildContext) -> dict:

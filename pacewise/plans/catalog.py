@@ -83,6 +83,7 @@ def _side_effect_queries() -> dict[str, Query]:
         "reconciled_silver": jobs.reconciled_silver,
         "incremental_silver": jobs.incremental_silver,
         "stream_broken_bronze": jobs.stream_broken_bronze,
+        "named_rollup": jobs.named_rollup,
         "scan_savings": jobs.scan_savings,
         "layouts_agree": jobs.layouts_agree,
         "delete_ratio": jobs.delete_ratio,

@@ -263,6 +263,20 @@ def stream_broken_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("bronze").select(*[f.name for f in BRONZE_SCHEMA.fields if f.name != "ingest_ts"])
 
 
+# --- tables by name (A5, A13) ---------------------------------------------------------------------------
+def named_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impressions per campaign and day of the flight, from tables that SQL names; silver was replaced after
+    it got its name."""
+    lake = seeded_lake(spark, sf_dir, "named")
+    names = lake.register(f"pw_{lake.root.rsplit('-', 1)[-1]}_")
+    lake.replace("silver", lake.read("silver").where("event_type = 'impression'"))
+    return spark.sql(f"""
+        SELECT d.campaign_id, d.budget, f.event_date, count(*) AS impressions
+        FROM {names['silver']} f JOIN {names['dim_campaign']} d ON f.campaign_id = d.campaign_id
+        WHERE f.event_date BETWEEN d.flight_start AND d.flight_end
+        GROUP BY d.campaign_id, d.budget, f.event_date""")
+
+
 # --- checks of jobs (N9-N11) --------------------------------------------------------------------------
 def layouts_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of both layouts, and whether the partitioned one has fewer files and its user query opens fewer bytes."""

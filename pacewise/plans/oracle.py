@@ -244,6 +244,10 @@ WHERE event_type = 'impression' GROUP BY campaign_id""", *BASE, _AMP),
     "reconciled_silver": _q("SELECT * FROM silver", *FORGET),
     "incremental_silver": _q("SELECT * FROM silver", *BASE),
     "stream_broken_bronze": _q("SELECT if(event_id IS NULL, NULL, COLUMNS(* EXCLUDE (kafka_ts, ingest_ts))), kafka_ts FROM bronze", _BRONZE),
+    "named_rollup": _q("""SELECT d.campaign_id, d.budget, CAST(s.event_ts AS DATE) AS event_date, count(*) AS impressions
+FROM silver s JOIN dim_campaign d USING (campaign_id)
+WHERE s.event_type = 'impression' AND CAST(s.event_ts AS DATE) BETWEEN d.flight_start AND d.flight_end
+GROUP BY ALL""", *BASE, _DIM),
     "scan_savings": """SELECT q AS query, l AS layout, true AS reads_less_than_everything, true AS gains_by_layout,
        (SELECT count(*) FROM events) > 0 AS reads_something
 FROM (VALUES ('user-filtered scan'), ('date-range scan'), ('campaign rollup')) a(q) CROSS JOIN (VALUES ('bad'), ('optimized')) b(l)""",

@@ -7,6 +7,8 @@ partition columns keep their declared types instead of being re-inferred from di
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -159,12 +161,24 @@ def flat_table(path: str, contract: StructType = SILVER_SCHEMA, name: str = "")
     return Table(path, contract, name=name)
 
 
+# Tables that a build replaces as a whole; the others only grow.
+REPLACED = ("silver", "dim_campaign", "delivery", "fill", "pacing")
+_VERSION = re.compile(r"__v(\d{6})$")
+
+
 class Lake:
-    """The layer folders (``bronze/ silver/ gold/ gdpr/``) under one root."""
+    """The layer folders (``bronze/ silver/ gold/ gdpr/``) under one root.
+
+    A full replace writes a folder of its own, ``<table>__v<number>``; the highest number is the table. The
+    folder gets that name in one step, after it was written and checked, so a build that is lost or fails
+    before leaves the old table as it was. The folder before it goes at once: no old version keeps erased
+    rows. ``register`` names the tables in Spark's session catalog; a replace then moves the name.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.names: dict[str, str] = {}  # tables named in the session catalog
         r = self.root
         self.tables: dict[str, Table] = {
             "bronze": _table(f"{r}/bronze/ad_events_raw", BRONZE_SCHEMA, "bronze",
@@ -184,13 +198,62 @@ class Lake:
         }
 
     def __getitem__(self, name: str) -> Table:
-        return self.tables[name]
+        table = self.tables[name]
+        found = self._versions(name)
+        return table.at(f"{table.path}__v{found[-1]:06d}") if found else table
+
+    def _versions(self, name: str) -> list[int]:
+        if name not in REPLACED:
+            return []
+        parent, base = self.tables[name].path.rsplit("/", 1)
+        names = fs.list_names(self.spark, parent, f"{base}__v")
+        return sorted(int(m[1]) for n in names if (m := _VERSION.search(n)) and n[:m.start()] == base)
 
     def read(self, name: str, layout: bool = False) -> DataFrame:
-        return self.tables[name].read(self.spark, layout)
+        return self[name].read(self.spark, layout)
 
     def write(self, name: str, df: DataFrame, **kw) -> int:
-        return self.tables[name].write(df, **kw)
+        """The rows written; without options a full replace of a table that builds replace."""
+        return self[name].write(df, **kw) if kw or name not in REPLACED else self.replace(name, df)
+
+    def replace(self, name: str, df: DataFrame, must_have_rows: bool = False) -> int:
+        """Replaces the table as a whole (A6); the rows written. Where they must be some, the old table stays if there are none."""
+        base, old = self.tables[name], self._versions(name)
+        parent, folder = base.path.rsplit("/", 1)
+        for left in fs.list_names(self.spark, parent, f"{folder}__stage_"):
+            fs.delete(self.spark, f"{parent}/{left}")
+        staged = base.at(f"{base.path}__stage_{uuid.uuid4().hex[:10]}")
+        n = staged.write(df)
+        if must_have_rows and n <= 0:
+            fs.delete(self.spark, staged.path)
+            raise AssertionError(f"{name} is empty after its build; look at the tables it reads")
+        target = f"{base.path}__v{(old[-1] if old else 0) + 1:06d}"
+        fs.rename(self.spark, staged.path, target)
+        if name in self.names:
+            self.spark.sql(f"ALTER TABLE {self.names[name]} SET LOCATION '{target}'")
+        for path in (base.path, *[f"{base.path}__v{v:06d}" for v in old]):
+            fs.delete(self.spark, path)
+        self.refresh()
+        return n
+
+    def register(self, prefix: str = "") -> dict[str, str]:
+        """Names every table in the session catalog, as ``<prefix><layer>.<table>`` over its folder."""
+        # partitions are found in the folders, so that moving a table's location is one change
+        self.spark.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+        for name, base in self.tables.items():
+            layer, table = base.path.rsplit("/", 2)[-2:]
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
+            self.names[name] = f"{prefix}{layer}.{table}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.names[name]}")  # external: the files stay
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.read_schema.fields)
+            parts = f"PARTITIONED BY ({', '.join(base.partition_by)})" if base.partition_by else ""
+            self.spark.sql(f"CREATE TABLE {self.names[name]} ({columns}) USING parquet {parts} LOCATION '{self[name].path}'")
+        return dict(self.names)
+
+    def refresh(self) -> None:
+        """Lets the names see files that were replaced."""
+        for table in self.names.values():
+            self.spark.catalog.refreshTable(table)
 
     def count(self, name: str) -> int:
         """Read-back count after a write."""
