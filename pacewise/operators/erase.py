@@ -147,15 +147,13 @@ def erase(spark: SparkSession, table: Table, users: DataFrame, verify: bool = Tr
         check_stage(spark, table, stage, written)
     cost.rows_rewritten = written[0] + cost.rows_deleted
     staged = staged_files(spark, stage)
-    for target, file in old.items():
-        if target in staged:
-            fs.replace(spark, staged[target], file)
-        else:
-            fs.delete(spark, file, recursive=False)
-            folder = file.rsplit("/", 1)[0]
-            if parts and not fs.data_files(spark, folder):
-                fs.delete(spark, folder)
-                cost.partitions_emptied += 1
+    gone = [file for target, file in old.items() if target not in staged]
+    fs.each(fs.replace, [(spark, staged[target], file) for target, file in old.items() if target in staged])
+    fs.each(fs.delete, [(spark, file, False) for file in gone])
+    for folder in {file.rsplit("/", 1)[0] for file in gone} if parts else ():
+        if not fs.data_files(spark, folder):
+            fs.delete(spark, folder)
+            cost.partitions_emptied += 1
     fs.delete(spark, stage)
     spark.catalog.refreshByPath(table.path)
     if verify:

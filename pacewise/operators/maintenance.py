@@ -64,23 +64,25 @@ def swap_folders(spark: SparkSession, table_path: str, moves: list[tuple[str, st
 
 def _apply(spark: SparkSession, moves: list, drops: list) -> None:
     """All moves, then the drops: at no time is a row missing. Done again, it goes on where it was left."""
-    for staged, target in moves:
-        parent, name = target.rstrip("/").rsplit("/", 1)
-        aside = f"{parent}/.old-{name}"  # a leading dot hides the folder from readers
-        if fs.exists(spark, staged):
-            if fs.exists(spark, target):
-                fs.delete(spark, aside)
-                fs.rename(spark, target, aside)
-            try:
-                fs.rename(spark, staged, target)
-            except Exception:
-                if fs.exists(spark, aside) and not fs.exists(spark, target):
-                    fs.rename(spark, aside, target)
-                raise
+    fs.each(_move, [(spark, staged, target) for staged, target in moves])
+    fs.each(fs.delete, [(spark, d) for d in drops])
+
+
+def _move(spark: SparkSession, staged: str, target: str) -> None:
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    aside = f"{parent}/.old-{name}"  # a leading dot hides the folder from readers
+    if fs.exists(spark, staged):
         if fs.exists(spark, target):
             fs.delete(spark, aside)
-    for d in drops:
-        fs.delete(spark, d)
+            fs.rename(spark, target, aside)
+        try:
+            fs.rename(spark, staged, target)
+        except Exception:
+            if fs.exists(spark, aside) and not fs.exists(spark, target):
+                fs.rename(spark, aside, target)
+            raise
+    if fs.exists(spark, target):
+        fs.delete(spark, aside)
 
 
 def recover(spark: SparkSession, table_path: str) -> int:

@@ -45,12 +45,12 @@ def stage_files(table: Table, rows: DataFrame, path: str, sort: bool = True) ->
 
 def staged_files(spark: SparkSession, path: str) -> dict[str, str]:
     """target -> its staged file."""
-    found = {}
-    for name in fs.list_names(spark, path, "target="):
-        files = fs.data_files(spark, f"{path}/{name}")
-        if len(files) != 1:
-            raise AssertionError(f"{path}/{name} has {len(files)} files")
-        found[name.split("=", 1)[1]] = files[0]
+    if not fs.has_data_files(spark, path):
+        return {}
+    files = [fs.plain(f) for f in spark.read.schema("target string").option("recursiveFileLookup", "true").parquet(path).inputFiles()]
+    found = {f.rsplit("/", 2)[1].split("=", 1)[1]: f for f in files}
+    if len(found) < len(files):
+        raise AssertionError(f"{path} has several files for one target")
     return found
 
 

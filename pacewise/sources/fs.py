@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
+_AT_ONCE = 16  # file system calls of the driver at a time
+
+
+def each(call: Callable, items: Iterable[tuple]) -> None:
+    """Calls ``call`` with every item's values, several at a time; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        for done in [pool.submit(call, *item) for item in items]:
+            done.result()
+
 
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
