@@ -83,6 +83,9 @@ def _side_effect_queries() -> dict[str, Query]:
         "reconciled_silver": jobs.reconciled_silver,
         "incremental_silver": jobs.incremental_silver,
         "stream_broken_bronze": jobs.stream_broken_bronze,
+        "stream_binary_bronze": jobs.stream_binary_bronze,
+        "forced_files": jobs.forced_files,
+        "refusals": jobs.refusals,
         "named_rollup": jobs.named_rollup,
         "scan_savings": jobs.scan_savings,
         "layouts_agree": jobs.layouts_agree,

@@ -4,6 +4,7 @@ application and input folder, then reused by the queries that read it."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from pacewise.operators import analyst, erase, layout
 from pacewise.operators.maintenance import compact
 from pacewise.operators.silver import dim_campaign, fact_event
 from pacewise.plans import builders
-from pacewise.schemas import BRONZE_SCHEMA
+from pacewise.schemas import BRONZE_SCHEMA, SchemaDriftError
 from pacewise.session import fresh_dir
 from pacewise.sources import given
 from pacewise.sources.campaigns import land_campaign_snapshot, read_campaign_snapshot
@@ -278,6 +279,54 @@ def named_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY d.campaign_id, d.budget, f.event_date""")
 
 
+def stream_binary_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from records whose key and value are bytes, as Kafka's are (H2), folded every second batch (A2); instead
+    of ``ingest_ts``, whether it is the time of this run (H3)."""
+    lake = Lake(spark, fresh_dir(spark, "lake-binary"))
+    landing = lake.folder("landing", "ad_events")
+    stream.land_envelopes(given.bronze(spark, sf_dir), landing, kind="parquet")
+    begun = spark.sql("SELECT current_timestamp()").first()[0]
+    raw = stream.file_source(spark, landing, max_files_per_trigger=1, kind="parquet")
+    ingest.ingest(spark, lake, raw, available_now=True, fold_every=2, log=lambda line: None)
+    now = F.current_timestamp().cast("timestamp_ntz")
+    in_time = F.col("ingest_ts").between(F.lit(begun).cast("timestamp_ntz"), now)
+    return lake.read("bronze").withColumn("ingested_now", in_time).drop("ingest_ts")
+
+
+# --- files and refusals (A11, A16, A17, D13, H20) --------------------------------------------------------
+def forced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout report of the copy that was forced into 500 files."""
+    bad = layout.layout_report(spark, layout_study(spark, sf_dir).bad, "bad")
+    sizes = (F.col("avg_file_bytes") * F.col("files") - F.col("total_bytes")).between(-1, 1) & (F.col("total_bytes") > 0)
+    return bad.select("files", "rows", sizes.alias("sizes_add_up"))
+
+
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lake refuses, with the rows its table has afterwards: an append that drifts from the contract in a name,
+    a type or a missing column (A11), and an erasure that names an id outside the allow-list (H20)."""
+    lake = Lake(spark, fresh_dir(spark, "lake-refusals"))
+    events = given.silver(spark, sf_dir)
+    lake.write("silver", events)
+    drifts = {"another name": events.withColumnRenamed("geo", "region"), "another type": events.withColumn("event_ts", F.col("event_ts").cast("string")),
+              "a missing column": events.drop("placement")}
+    rows = []
+    for case, df in drifts.items():
+        try:
+            lake.write("silver", df, mode="append")
+            rows.append((case, False))
+        except (SchemaDriftError, AnalysisException):
+            rows.append((case, True))
+    for case, bad in (("a quote", "x' OR '1'='1"), ("a line end", "usr-00001\n"), ("an empty id", "")):
+        users = events.select("user_id").distinct().unionByName(spark.createDataFrame([(bad,)], "user_id string"))
+        try:
+            erase.erase(spark, lake["silver"], erase.validated_users(users))
+            rows.append((case, False))
+        except erase.UnsafeUserId:
+            rows.append((case, True))
+    left = lake.read("silver").agg(F.count(F.lit(1))).scalar()
+    return spark.createDataFrame(rows, "refused_for string, refused boolean").withColumn("rows_left", left)
+
+
 # --- checks of jobs (N9-N11) --------------------------------------------------------------------------
 def layouts_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of both layouts, and whether the partitioned one has fewer files and its user query opens fewer bytes."""

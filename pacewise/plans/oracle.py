@@ -244,6 +244,10 @@ WHERE event_type = 'impression' GROUP BY campaign_id""", *BASE, _AMP),
     "reconciled_silver": _q("SELECT * FROM silver", *FORGET),
     "incremental_silver": _q("SELECT * FROM silver", *BASE),
     "stream_broken_bronze": _q("SELECT if(event_id IS NULL, NULL, COLUMNS(* EXCLUDE (kafka_ts, ingest_ts))), kafka_ts FROM bronze", _BRONZE),
+    "stream_binary_bronze": _q("SELECT * EXCLUDE (ingest_ts), true AS ingested_now FROM bronze", _BRONZE),
+    "forced_files": _q("SELECT CAST(500 AS BIGINT) AS files, count(*) AS rows, true AS sizes_add_up FROM amp", *BASE, _AMP),
+    "refusals": _q("""SELECT c AS refused_for, true AS refused, (SELECT count(*) FROM silver) AS rows_left
+FROM (VALUES ('another name'), ('another type'), ('a missing column'), ('a quote'), ('a line end'), ('an empty id')) v(c)""", *BASE),
     "named_rollup": _q("""SELECT d.campaign_id, d.budget, CAST(s.event_ts AS DATE) AS event_date, count(*) AS impressions
 FROM silver s JOIN dim_campaign d USING (campaign_id)
 WHERE s.event_type = 'impression' AND CAST(s.event_ts AS DATE) BETWEEN d.flight_start AND d.flight_end

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType, TimestampType
 
 from pacewise.functions import utc_day
 from pacewise.schemas import BRONZE_SCHEMA, EVENT_COLUMNS, LAYOUT_COLUMNS, conform
@@ -38,6 +38,12 @@ ENVELOPE_SCHEMA = StructType([
     StructField("timestamp", TimestampType(), True),
 ])
 
+RECORD_SCHEMA = StructType([
+    StructField("key", BinaryType(), True),
+    StructField("value", BinaryType(), True),
+    StructField("timestamp", TimestampType(), True),
+])
+
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = "ad_events",
                  starting_offsets: str = "earliest",
@@ -56,12 +62,15 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str = "ad_events",
     return reader.load()
 
 
-def file_source(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed JSON envelopes as a stream; same columns as the Kafka source uses below."""
-    reader = spark.readStream.schema(ENVELOPE_SCHEMA)
+def file_source(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, kind: str = "json") -> DataFrame:
+    """Landed envelopes as a stream; same columns as the Kafka source uses below.
+
+    JSON envelopes hold key and value as strings; Parquet ones as bytes, as Kafka's records do.
+    """
+    reader = spark.readStream.schema(ENVELOPE_SCHEMA if kind == "json" else RECORD_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir)
+    return reader.format(kind).load(landing_dir)
 
 
 def parse(raw: DataFrame) -> DataFrame:
@@ -89,7 +98,7 @@ def write_batch(bronze: Table, df: DataFrame, tag: str, batch_id: int) -> int:
 
 def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, tag: str,
           processing_time: str | None = "10 seconds", available_now: bool = False,
-          on_batch: Callable[[DataFrame], object] | None = None, name: str | None = None) -> StreamingQuery:
+          on_batch: Callable[[DataFrame, int], object] | None = None, name: str | None = None) -> StreamingQuery:
     """Start the ingestion.
 
     ``on_batch`` gets each batch as bronze holds it, after it was written; a batch whose ``on_batch`` failed
@@ -107,7 +116,7 @@ def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, t
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         write_batch(bronze, batch_df, tag, batch_id)
         if on_batch:
-            on_batch(batch_table(bronze, tag, batch_id).read(spark))
+            on_batch(batch_table(bronze, tag, batch_id).read(spark), batch_id)
 
     writer = (parse(raw).writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
@@ -121,7 +130,8 @@ def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, t
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def land_envelopes(events: DataFrame, landing_dir: str, files: int | None = 4, broken: Column | None = None) -> None:
+def land_envelopes(events: DataFrame, landing_dir: str, files: int | None = 4, broken: Column | None = None,
+                   kind: str = "json") -> None:
     """Write bronze-shaped rows as JSON envelopes (the file stand-in for the topic), with
     UTC ISO-8601 timestamps at microsecond precision, as a producer would send them.
 
@@ -133,4 +143,6 @@ def land_envelopes(events: DataFrame, landing_dir: str, files: int | None = 4, b
     if broken is not None:
         payload = F.when(broken, F.substring(payload, F.lit(1), F.length(payload) - 2)).otherwise(payload)
     rows = events.select(F.col("user_id").alias("key"), payload.alias("value"), F.col("kafka_ts").cast("timestamp").alias("timestamp"))
-    ((rows.repartition(files) if files else rows).write.mode("overwrite").option("timestampFormat", ISO_UTC).json(landing_dir))
+    if kind != "json":
+        rows = rows.withColumns({c: F.col(c).cast("binary") for c in ("key", "value")})
+    ((rows.repartition(files) if files else rows).write.mode("overwrite").option("timestampFormat", ISO_UTC).format(kind).save(landing_dir))

@@ -9,12 +9,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from pacewise.operators.maintenance import merge_batches
 from pacewise.operators.silver import merge_events
 from pacewise.sources import fs
 from pacewise.sources.tables import Lake
 from pacewise.streaming import bronze
 
 
+FOLD_EVERY = 360  # batches: an hour of ten-second triggers
+
+
 class Progress(StreamingQueryListener):
     """One JSON line for each batch of the query ``name``, and for its start and end."""
 
@@ -62,11 +66,13 @@ def _stopped(query: StreamingQuery, grace: float) -> None:
 
 
 def ingest(spark: SparkSession, lake: Lake, raw: DataFrame, tag: str = "ingest", processing_time: str = "10 seconds",
-           available_now: bool = False, silver: bool = False, grace: float = 60, poll: float = 1,
-           log: Callable[[str], None] = print) -> dict[str, int]:
+           available_now: bool = False, silver: bool = False, fold_every: int = FOLD_EVERY, grace: float = 60,
+           poll: float = 1, log: Callable[[str], None] = print) -> dict[str, int]:
     """Runs the stream until it has ended (``available_now``), failed, or ``request_stop`` was called.
 
-    With ``silver`` every batch is merged into the silver table as well. Started again, it goes on from its
+    With ``silver`` every batch is merged into the silver table as well. After every ``fold_every`` batches the
+    folders of those before the newest become one, so their number stays small however long the stream runs
+    (a trigger of ten seconds makes 8,640 batches a day). Started again, it goes on from its
     checkpoint in the lake; a marker left from before is removed first.
     """
     fs.delete(spark, stop_marker(lake, tag), recursive=False)
@@ -74,9 +80,13 @@ def ingest(spark: SparkSession, lake: Lake, raw: DataFrame, tag: str = "ingest",
     progress = Progress(name, log)
     spark.streams.addListener(progress)
     try:
-        merge = (lambda batch: merge_events(spark, lake["silver"], batch)) if silver else None
+        def after(batch: DataFrame, batch_id: int) -> None:
+            if silver:
+                merge_events(spark, lake["silver"], batch)
+            if fold_every and batch_id % fold_every == fold_every - 1:
+                merge_batches(spark, lake["bronze"], tag)  # between two writes of this stream
         query = bronze.start(spark, raw, lake["bronze"], lake.folder("_checkpoints", tag), tag, processing_time,
-                             available_now, on_batch=merge, name=name)
+                             available_now, on_batch=after, name=name)
         while not query.awaitTermination(poll):
             if fs.exists(spark, stop_marker(lake, tag)):
                 _stopped(query, grace)
