@@ -28,6 +28,7 @@ from pacewise.schemas import (
     PACING_SCHEMA,
     SILVER_SCHEMA,
     TOMBSTONE_SCHEMA,
+    SchemaDriftError,
     check_schema,
 )
 from pacewise.sources import fs
@@ -108,6 +109,8 @@ class Table:
         writing tasks themselves (an observation behind the last shuffle, so a lost map task counts once).
         """
         present = set(df.columns)
+        if missing := [c.name for c in self.contract.fields if c.name not in present]:
+            raise SchemaDriftError(f"{self.name or self.path}: no column {', '.join(missing)}")
         base = df.select(*[c.name for c in self.contract.fields])
         if check:
             check_schema(base, self.contract, self.name or self.path)
