@@ -47,7 +47,7 @@ NEAR = 1 - SIMILAR
 FAR = 2 * NEAR
 _EPS = 1e-9
 _WORD_CACHE = 400_000
-BIT_WORDS = 8                        # of 64 bits, in a bound that texts of any length pass through
+BIT_WORDS = 16                       # of 64 bits, in a bound that texts of any length pass through
 _MASK = (1 << 64) - 1
 
 
