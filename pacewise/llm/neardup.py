@@ -184,9 +184,14 @@ def distance(a: list[int], b: list[int]) -> float:
     return 1 - c / (n + m - c) if c >= need else 1.0
 
 
+def _text_hashes(text: str) -> list[Column]:
+    """96 bits that tell the texts of one id, or of no id, apart."""
+    return [F.xxhash64(F.col(f"`{text}`")).alias("h1"), F.hash(F.col(f"`{text}`")).alias("h2")]
+
+
 def _sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, body, n, keys): hash of the word sequence, number of shingles and bucket keys."""
-    slim = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    """(doc, body, n, keys, h1, h2): hash of the word sequence, number of shingles, bucket keys, hashes of the text."""
+    slim = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text"), *_text_hashes(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
@@ -200,11 +205,11 @@ def _sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     size.append(len(h))
                     keys.append(sketch(h).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(body, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc", "body", "n", "keys"])
+                    [piece.column(0), pa.array(body, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64())),
+                     piece.column(2), piece.column(3)], ["doc", "body", "n", "keys", "h1", "h2"])
 
     return slim.mapInArrow(run, T.StructType([slim.schema["doc"], T.StructField("body", T.BinaryType()), T.StructField("n", T.IntegerType()),
-                                              T.StructField("keys", T.ArrayType(T.LongType()))]))
+                                              T.StructField("keys", T.ArrayType(T.LongType())), slim.schema["h1"], slim.schema["h2"]]))
 
 
 def rare_first(h: np.ndarray, hub: np.ndarray) -> np.ndarray:
@@ -350,20 +355,26 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """(doc_id, class_id) for every row: the smallest id among its near-duplicates (its own if none).
 
     Texts without words (null, empty, white space) are near nothing; equal word sequences are one
-    class at any length; texts under five words are near only those. Repeated rows stay. Null ids
-    join a class but never name one (null if it has no other). Other columns are ignored.
+    class at any length; texts under five words are near only those. Rows are compared by their own
+    text: those that share an id with other texts, or have none, are linked like all others. Repeated rows
+    stay. Null ids join a class but never name one (null if it has no other). Other columns are ignored.
     """
     checkpoint_root(df.sparkSession)
     docs = without(df, *[c for c in df.columns if c not in (doc_id, text)])
     rows = _sketched(docs, doc_id, text).checkpoint()
-    classes = rows.where("body is not null").groupBy("body").agg(F.min("doc").alias("rep"))
-    chosen = rows.join(classes.where("rep is not null").select("body", F.col("rep").alias("doc")), ["body", "doc"], "left_semi")
-    shared = _shared(chosen.select(F.explode("keys").alias("key"), "doc").distinct()).checkpoint()
-    wanted = shared.select("doc").distinct()
-    bodies = (docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("text is not null")
-              .join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).checkpoint())
+    # from here on a word sequence, not an id, is what is linked
+    worded = rows.where("body is not null")
+    shared = _shared(worded.select(F.explode("keys").alias("key"), F.col("body").alias("doc")).distinct()).checkpoint()
+    wanted = worded.join(shared.select(F.col("doc").alias("body")).distinct(), "body", "left_semi")
+    wanted = wanted.groupBy("body").agg(F.min(F.struct("doc", "h1", "h2")).alias("of")).select(F.col("body").alias("key"), "of.*")
+    found = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), *_text_hashes(text)).where("text is not null")
+    same = F.col("id").eqNullSafe(F.col("doc"))
+    bodies = (found.join(wanted, same & (found["h1"] == wanted["h1"]) & (found["h2"] == wanted["h2"]))
+              .select(F.col("key").alias("doc"), "text").dropDuplicates(["doc"]).checkpoint())
     roots = _roots(shared, bodies)
-    named = classes.select("body", "rep").join(roots.select(F.col("doc").alias("rep"), "root"), "rep", "left")
-    named = named.select("body", F.coalesce("root", "rep").alias("rep"))
+    classes = worded.groupBy("body").agg(F.min("doc").alias("least"))
+    classes = classes.join(roots.withColumnRenamed("doc", "body"), "body", "left").withColumn("root", F.coalesce("root", "body"))
+    names = classes.groupBy("root").agg(F.min("least").alias("rep"))
+    named = classes.join(names, "root").select("body", "rep")
     return rows.select("doc", "body").join(named, "body", "left").select(
         F.col("doc").alias(doc_id), F.when(F.col("body").isNull(), F.col("doc")).otherwise(F.col("rep")).alias("class_id"))

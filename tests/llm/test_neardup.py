@@ -143,3 +143,14 @@ def test_query(spark, sf):
     assert pairs and all(got[d] == got[e] for d, e in pairs if near(texts[d], texts[e]))
     alone = set(sets) - {x for p in pairs for x in p}
     assert all(got[d] == d for d in alone)
+
+
+def test_rows_of_one_id_and_of_none_are_linked_by_their_own_text(spark):
+    """Two texts under one id, each near another document's; texts without an id near others."""
+    base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    near = [t.replace("30", "changed", 1) for t in base]
+    rows = [(7, base[0]), (7, base[1]), (8, near[0]), (9, near[1]), (None, base[2]), (3, near[2]), (None, base[3]), (None, near[3]), (None, "alone " * 9),
+            (None, None), (5, ""), (7, base[0])]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = sorted(((r["doc_id"], r["class_id"]) for r in got), key=str)
+    assert found == sorted([(7, 7), (7, 7), (7, 7), (8, 7), (9, 7), (None, 3), (3, 3), (None, None), (None, None), (None, None), (None, None), (5, 5)], key=str)
