@@ -29,6 +29,7 @@ from pacewise.llm.common import appended, extend, pieces, texts, without
 
 WORD_CACHE = 250_000      # words of one generation of a worker's cache (two are kept)
 PREFIX_CACHE = 250_000    # word prefixes whose last tokens a worker keeps
+PIECE_BYTES = 8 << 20     # text encoded before its ids are handed on
 PAIR_CACHE = 500_000      # token pairs whose test a worker keeps
 SHORT_WORD = 40           # longer symbol runs bypass the prefix cache
 NEVER = 1 << 30
@@ -108,6 +109,7 @@ class Vocabulary:
                 raise ValueError("two merges make the same token")
             self.parts[made], self.rank[made], self.pair_rank[a, b] = (a, b), r, r
         self.pairs: dict[int, bool] = {}
+        self.pairs_kept = PAIR_CACHE
         self._whole: dict[int, bool] = {}
         self._by_id = {i: s for s, i in self.symbols.items()}
         self.sizes = [len(self._by_id.get(i, "")) for i in range(len(self.names))]
@@ -202,7 +204,7 @@ class Vocabulary:
     def fits(self, key: int, before: int, t: int) -> bool:
         if (ok := self._whole.get(t)) is None:
             ok = self._whole[t] = self._reachable(t)
-        if len(self.pairs) > PAIR_CACHE:
+        if len(self.pairs) > self.pairs_kept:
             self.pairs.clear()
         ok = self.pairs[key] = ok and (before < 0 or self.compatible(before, t))
         return ok
@@ -375,9 +377,10 @@ def _mapped(df: DataFrame, vocabulary_path: str, text: str, decode: bool, lean:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(spec.value)
-        encoder.share = 4 if lean else 1
+        encoder.share = share = 4 if lean else 1
+        encoder.v.pairs_kept = PAIR_CACHE // share
         for batch in batches:
-            for piece in pieces(batch, text):
+            for piece in pieces(batch, text, PIECE_BYTES // share):
                 ids = [encoder.encode(t) for t in texts(piece, text)]
                 new = {"ids": pa.array(ids, pa.binary())}
                 if decode:
