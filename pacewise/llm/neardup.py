@@ -184,14 +184,18 @@ def distance(a: list[int], b: list[int]) -> float:
     return 1 - c / (n + m - c) if c >= need else 1.0
 
 
-def _text_hashes(text: str) -> list[Column]:
-    """96 bits that tell the texts of one id, or of no id, apart."""
-    return [F.xxhash64(F.col(f"`{text}`")).alias("h1"), F.hash(F.col(f"`{text}`")).alias("h2")]
+_IDENTITY = ["none", "name", "h1", "h2"]
+
+
+def _identity(doc_id: str, text: str) -> list[Column]:
+    """What tells rows apart: the id, or that there is none, and 96 bits of the text."""
+    body, name = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
+    return [name.isNull().alias("none"), F.coalesce(name.cast("string"), F.lit("")).alias("name"), F.xxhash64(body).alias("h1"), F.hash(body).alias("h2")]
 
 
 def _sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, body, n, keys, h1, h2): hash of the word sequence, number of shingles, bucket keys, hashes of the text."""
-    slim = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text"), *_text_hashes(text))
+    """(doc, body, n, keys, none, name, h1, h2): hash of the word sequence, number of shingles, bucket keys, ``_identity``."""
+    slim = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text"), *_identity(doc_id, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
@@ -206,10 +210,10 @@ def _sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     keys.append(sketch(h).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(body, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64())),
-                     piece.column(2), piece.column(3)], ["doc", "body", "n", "keys", "h1", "h2"])
+                     *piece.columns[2:]], ["doc", "body", "n", "keys", *_IDENTITY])
 
     return slim.mapInArrow(run, T.StructType([slim.schema["doc"], T.StructField("body", T.BinaryType()), T.StructField("n", T.IntegerType()),
-                                              T.StructField("keys", T.ArrayType(T.LongType())), slim.schema["h1"], slim.schema["h2"]]))
+                                              T.StructField("keys", T.ArrayType(T.LongType())), *[slim.schema[c] for c in _IDENTITY]]))
 
 
 def rare_first(h: np.ndarray, hub: np.ndarray) -> np.ndarray:
@@ -362,19 +366,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     checkpoint_root(df.sparkSession)
     docs = without(df, *[c for c in df.columns if c not in (doc_id, text)])
     rows = _sketched(docs, doc_id, text).checkpoint()
-    # from here on a word sequence, not an id, is what is linked
+    # from here on a word sequence, numbered in a fixed table, is what is linked, not an id
     worded = rows.where("body is not null")
-    shared = _shared(worded.select(F.explode("keys").alias("key"), F.col("body").alias("doc")).distinct()).checkpoint()
-    wanted = worded.join(shared.select(F.col("doc").alias("body")).distinct(), "body", "left_semi")
-    wanted = wanted.groupBy("body").agg(F.min(F.struct("doc", "h1", "h2")).alias("of")).select(F.col("body").alias("key"), "of.*")
-    found = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), *_text_hashes(text)).where("text is not null")
-    same = F.col("id").eqNullSafe(F.col("doc"))
-    bodies = (found.join(wanted, same & (found["h1"] == wanted["h1"]) & (found["h2"] == wanted["h2"]))
-              .select(F.col("key").alias("doc"), "text").dropDuplicates(["doc"]).checkpoint())
+    classes = worded.groupBy("body").agg(F.min("doc").alias("least"), F.min(F.struct(*_IDENTITY)).alias("of"))
+    classes = classes.select("body", "least", "of.*").withColumn("node", F.monotonically_increasing_id()).checkpoint()
+    chosen = worded.select("body", "keys", *_IDENTITY).join(classes.drop("least"), ["body", *_IDENTITY])
+    shared = _shared(chosen.select(F.explode("keys").alias("key"), F.col("node").alias("doc")).distinct()).checkpoint()
+    wanted = classes.join(shared.select(F.col("doc").alias("node")).distinct(), "node", "left_semi").select("node", *_IDENTITY)
+    found = docs.select(F.col(f"`{text}`").alias("text"), *_identity(doc_id, text)).where("text is not null")
+    bodies = found.join(wanted, _IDENTITY).dropDuplicates(_IDENTITY).select(F.col("node").alias("doc"), "text").checkpoint()
     roots = _roots(shared, bodies)
-    classes = worded.groupBy("body").agg(F.min("doc").alias("least"))
-    classes = classes.join(roots.withColumnRenamed("doc", "body"), "body", "left").withColumn("root", F.coalesce("root", "body"))
-    names = classes.groupBy("root").agg(F.min("least").alias("rep"))
-    named = classes.join(names, "root").select("body", "rep")
+    rooted = classes.select("body", "least", "node").join(roots.withColumnRenamed("doc", "node"), "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("rep"))
+    named = rooted.join(names, "root").select("body", "rep")
     return rows.select("doc", "body").join(named, "body", "left").select(
         F.col("doc").alias(doc_id), F.when(F.col("body").isNull(), F.col("doc")).otherwise(F.col("rep")).alias("class_id"))
