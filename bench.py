@@ -26,6 +26,7 @@ from pacewise.sources.tables import Lake  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = 5
+FILE_ROWS = 2_000  # rows of a file of the lake at most
 
 
 def _timed(fn):
@@ -46,9 +47,12 @@ def main() -> None:
     # --- builds: bronze fixture -> silver -> gold ------------------------------------------------
     lake = Lake(spark, fresh_dir(spark, "bench-lake"))
     ctx = builders.BuildContext(spark, lake, SF_DIR)
+    # the cluster profile caps a file's rows, so that a day has many; here a day is small, and so is the cap
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", str(FILE_ROWS))
     for name in builders.GROUPS["seeded"]:
         q[f"build_{name}"], n = _timed(lambda name=name: builders.BUILDERS[name](ctx))
         details[f"rows_{name}"] = n
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
 
     # --- analyst queries over the gold / silver tables -------------------------------------------
     analyst_qs = {
