@@ -46,12 +46,13 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """``df`` with the kept lines as its text, plus n_lines and n_removed.
 
     Null and empty texts have no lines and stay as they are; texts of fewer than three lines have
-    no window. Null ids come last in document order. Rows that agree in id and text are one place:
-    neither counts as later than the other. Input columns named like a result give way to it.
+    no window. Null ids come last in document order; different texts of one id, or without any, follow each
+    other in the order of their hashes. Rows that agree in id and text are one place: neither counts as later
+    than the other. Input columns named like a result give way to it.
     """
     kept = without(df, "n_lines", "n_removed")
     found = windows(kept, doc_id, text)
-    place = F.struct(F.col("doc").isNull().alias("no_id"), F.col("doc"), F.col("pos"))
+    place = F.struct(F.col("doc").isNull().alias("no_id"), F.col("doc"), F.col("body"), F.col("pos"))
     first = (found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where(F.col("first") < F.col("last")).drop("last"))
     later = found.join(first, ["h1", "h2"]).where(place > F.col("first"))

@@ -43,6 +43,19 @@ def test_nulls_repeats_and_no_rows(spark):
     assert run(spark, []) == []
 
 
+def test_texts_of_one_id(spark):
+    shared = "a\nb\nc"
+    for d in (None, 7):
+        docs = [(d, shared), (d, shared + "\nmore"), (d, "0\n" + shared), (d, "9\n8\n" + shared + "\n7")]
+        got = run(spark, docs + [(8, "other\n" + shared)])
+        kept = [r for r in got if r[0] == d]
+        assert sorted(r[2] for r in kept) == ([3, 3, 3, 3] if d is None else [0, 3, 3, 3])
+        assert [r[2] for r in got if r[0] == 8] == ([0] if d is None else [3])
+        words = sorted(w for r in kept for w in (r[3] or "").split("\n") if w in "0 9 8 7 more".split())
+        assert words == ["0", "7", "8", "9", "more"]  # no line outside the repeats goes
+    assert sorted(r[2] for r in run(spark, [(None, shared), (None, shared), (None, shared + "\nz")])) in ([0, 0, 3], [0, 3, 3])
+
+
 def test_query_counts(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     want = {d: (n, g) for d, n, g, _ in brute(docs)}
