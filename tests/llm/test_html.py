@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -73,6 +74,37 @@ def test_plain_text_and_long_pages():
     assert html_extract.main_text("<div>" * 500 + "deep" + "</div>" * 500) == "deep"
 
 
+def test_clusters_decide_where_no_article_is_named(monkeypatch):
+    page = ("<body><div><span>Home</span></div><div><div>Top <b>5</b> of <i>all</i></div><div>Log in</div></div><div><h1>Title</h1></div>"
+            f"<div class='x'>{BODY}<p>Fin.</p></div><div><div>Made <b>by</b> <i>us</i></div><div>(c) 2020</div></div></body>")
+    assert html_extract.main_text(page) == f"Title {TEXT} Fin."
+    monkeypatch.setattr(html_extract, "content_lines", lambda ratios: ratios == ratios)
+    assert html_extract.main_text(page) == f"Home Top 5 of all Log in Title {TEXT} Fin. Made by us (c) 2020"
+
+
+def test_forms_and_comments():
+    menu = "<nav><a href=x>Home</a></nav>"
+    for story in (f"<article>{BODY}</article>", f"<div>{BODY}</div>", BODY):
+        assert html_extract.main_text(f"<body><form>{menu}{story}<footer>x</footer></form></body>") == TEXT
+        assert html_extract.main_text(f"<body>{menu}{story}<form><p>Leave us your mail address and we will write you.</p></form></body>") == TEXT
+        assert html_extract.main_text(f"<body>{story}<div id=commentsThread><p>A reader wrote this, with quite many words.</p></div></body>") == TEXT
+    assert html_extract.main_text(f"<article>{BODY}<form>Your mail <input name=a></form></article>") == TEXT
+    assert html_extract.main_text("<form><article>Few.</article></form>") == "Few."
+    assert html_extract.main_text("<body><form>Search <input name=q></form></body>") == ""
+
+
+@pytest.mark.parametrize("unit", ["<div>some words here", "<section class=comments><p>w", "<article>some words", "<header><div>x", "</p><div>some words",
+                                  "<form><div>some words here", "<div class=sidebar>some words here in a box of names"])
+def test_deep_pages_take_linear_time(unit):
+    def seconds(n):
+        start = time.process_time()
+        html_extract.main_text(unit * n)
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(0.02, seconds(2_000))  # 64 times, if it were quadratic
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, f"<article>{BODY}</article>", "z"), (3, f"<article>{BODY}</article>", "z")], "page_id int, html string, TEXT string")
     out = html_extract.extract(df)
