@@ -1,20 +1,21 @@
 """Op 6: token-id files, compressed by Re-Pair grammars.
 
-Documents are dealt out by ranges of their id and sorted, so shards hold them in ascending order.
-Each shard is a run of blocks of whole documents (about ``BLOCK_TOKENS`` ids; one document larger than
-that is a block of its own). In a block, frequent pairs of neighbouring symbols are replaced by new
-symbols round after round, never across the end of a document; the rules and the length of each
-rule's expansion are stored with the block, so one document can be decoded alone.
-
-File format, little-endian, one block a row of a Parquet table (shard, block, n_docs, n_tokens,
+Documents are dealt out by ranges of their id (rows of one id, or of none, by ranges of how their text
+begins) and sorted, so parts hold them in ascending order. Each part is a run of blocks of whole documents
+(about ``BLOCK_TOKENS`` ids; one document larger than that is a block of its own), which are the shards that
+have a grammar each. In a block, frequent pairs of neighbouring symbols are replaced by new symbols round after
+round until no pair pays, never across the end of a document; the rules and the length of each rule's expansion
+are stored with the block, so one document can be decoded alone.
+
+File format, little-endian, one block a row of a Parquet table (shard: number of the part, block, n_docs, n_tokens,
 payload), which gives atomic commits in any file system Spark writes to. The payload:
-    magic "RPG1", uint32 n_docs, n_rules, base, n_symbols, symbol width in bytes (2 or 4)
+    magic "RPG2", uint32 n_docs, n_rules, base, n_ids, n_symbols, symbol width in bytes (2 or 4)
     int64  document ids, n_docs (NO_ID: null)
     uint32 ids of each document, n_docs
     uint32 first symbol of each document, n_docs
-    uint32 left and right symbol of each rule, n_rules each; rule k is symbol base + k
-    uint32 expansion length of each rule, n_rules
-    uint   symbols, n_symbols of the given width
+    uint32 the distinct token ids of the block, n_ids; symbol k < n_ids is the k-th of them
+    uint32 expansion length of each rule, n_rules; rule k is symbol n_ids + k
+    uint   left and right symbol of each rule, n_rules each, and the symbols, n_symbols, all of the given width
 """
 
 from __future__ import annotations
@@ -26,63 +27,89 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-from pacewise.llm.bpe import is_plain, plain_pretokens, read_vocabulary
+from pacewise.llm.bpe import byte_symbols, is_plain, plain_pretokens, read_vocabulary
 from pacewise.llm.common import pieces, texts, without
 
 END_ID = 1
-BLOCK_TOKENS = 1 << 19
-MIN_COUNT = 24          # a pair replaced less often saves less than its rule costs
-LEAST_GAIN = 0.04       # rounds go on while one shortens the block by this share
+BLOCK_TOKENS = 1 << 20
+MIN_COUNT = 5           # in 16-bit symbols a rule takes 8 bytes and each replacement saves 2
 NO_ID = np.iinfo(np.int64).max
-MAGIC = b"RPG1"
-_TABLE_BITS = 20
+MAGIC = b"RPG2"
 _WORDS = 350_000
+PREFIX = 64              # characters of a text that part the rows of one id
 
 
 class LibraryEncoder:
     """The tokenizer library's ids of whole texts.
 
-    Words between white space are encoded apart from each other by this kind of vocabulary, so the
-    library encodes the new words of some texts in one call, and its answers are kept (bounded): the
-    ids of a word end with its last piece's word-end token. Texts with special tokens or unusual
-    characters go to it whole.
+    Of plain texts (``is_plain``) the library's normalizer and word splitter do no more than lower-case and cut at known
+    characters, so these are cut here, each distinct word of some texts once, and the library's model encodes the
+    new pieces; its answers are kept (bounded). A piece's ids end with the one token that ends a word. Texts with
+    special tokens or other characters go to the library whole.
     """
 
     def __init__(self, spec: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        self.library = Tokenizer.from_str(spec)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.library, self.model = Tokenizer.from_str(spec), Tokenizer.from_str(spec)
+        for t in (self.library, self.model):
+            t.no_truncation()
+            t.no_padding()
+        self.model.normalizer, self.model.pre_tokenizer = None, CharDelimiterSplit(" ")
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.base = self.library.get_vocab_size(with_added_tokens=True)
         self.pretokens = plain_pretokens()
+        self.symbols = str.maketrans({chr(b): c for c, b in byte_symbols().items()})
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.base)])
 
+    def _learn(self, new: list[str]) -> None:
+        """Keeps the ids of the pieces of new words, and of the words."""
+        words, older = self.words, self.older
+        cut = [self.pretokens.findall(w) for w in new]
+        ask = []
+        for p in set().union(*cut):
+            if p not in words:
+                if p in older:
+                    words[p] = older[p]
+                else:
+                    ask.append(p)
+        spelled = [p if p.isascii() else p.encode().decode("latin-1").translate(self.symbols) for p in ask]
+        made = self.model.encode_batch_fast([" ".join(spelled[k: k + 500]) for k in range(0, len(ask), 500)], add_special_tokens=False)
+        found = np.concatenate([np.array(m.ids, "<u4") for m in made]) if ask else np.zeros(0, "<u4")
+        raw, stop = found.tobytes(), (4 * (np.flatnonzero(self.ends[found]) + 1)).tolist()
+        if len(stop) != len(ask):
+            raise ValueError("the vocabulary doesn't mark the end of every piece of a word")
+        words.update(zip(ask, map(raw.__getitem__, map(slice, [0, *stop[:-1]], stop)), strict=True))
+        words.update((w, b"".join([words[p] for p in ps])) for w, ps in zip(new, cut, strict=True))
+
     def encode(self, bodies: list[str]) -> list[bytes]:
-        cut = [None if "<|" in t or not is_plain(t) else t.lower().split() for t in bodies]
+        plain = ["<|" not in t and is_plain(t) for t in bodies]
+        cut = pc.ascii_split_whitespace(pa.array([t.lower() for t, p in zip(bodies, plain, strict=True) if p], pa.large_string()))
+        coded = cut.flatten().dictionary_encode()
         if len(self.words) > _WORDS:  # a word met again moves on from the older generation
             self.words, self.older = {}, self.words
-        new = set().union(*filter(None, cut)).difference(self.words)
-        known = new.intersection(self.older)
-        self.words.update((w, self.older[w]) for w in known)
-        new = list(new - known)
-        if new:
-            found = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-            pieces_of = np.fromiter((len(self.pretokens.findall(w)) for w in new), np.int64, len(new))
-            ends = np.flatnonzero(self.ends[found])
-            if len(ends) != pieces_of.sum():
-                raise ValueError("the vocabulary doesn't mark the end of every piece of a word")
-            raw, stop = found.tobytes(), (4 * (ends[np.cumsum(pieces_of) - 1] + 1)).tolist()
-            self.words.update(zip(new, map(raw.__getitem__, map(slice, [0, *stop[:-1]], stop)), strict=True))
-        get = self.words.__getitem__
-        return [array("I", self.library.encode(t, add_special_tokens=False).ids).tobytes() if words is None else b"".join(map(get, words))
-                for t, words in zip(bodies, cut, strict=True)]
+        names, words = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.words
+        missing = [w for w in names if w not in words]
+        words.update((w, self.older[w]) for w in missing if w in self.older)
+        self._learn([w for w in missing if w not in words])
+        found = [words[w] for w in names]
+        at, ends = coded.indices.to_numpy().tolist(), iter(np.cumsum(pc.list_value_length(cut)).tolist())
+        out, start = [], 0
+        for t, p in zip(bodies, plain, strict=True):
+            if p:
+                end = next(ends)
+                out.append(b"".join(map(found.__getitem__, at[start: end])))
+                start = end
+            else:
+                out.append(array("I", self.library.encode(t, add_special_tokens=False).ids).tobytes())
+        return out
 
 
 _ENCODERS: dict[int, LibraryEncoder] = {}
@@ -97,40 +124,62 @@ def worker_encoder(spec: str) -> LibraryEncoder:
     return _ENCODERS[key]
 
 
-def repair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, rules (left, right) and whether each symbol ends a document."""
-    seq, rules = ids.astype(np.uint32), []
-    most = max(0, 65536 - base) or 65536
-    while len(seq) > 1:
-        key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        slot = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
-        slot[last[:-1]] = 1 << _TABLE_BITS
-        often = np.bincount(slot, minlength=(1 << _TABLE_BITS) + 1) >= MIN_COUNT
-        often[-1] = False
-        at = np.flatnonzero(often[slot])
-        pairs, number, count = np.unique(key[at], return_inverse=True, return_counts=True)
-        ranked = np.argsort(-count, kind="stable")[: most - len(rules)]
-        ranked = ranked[count[ranked] >= MIN_COUNT]
-        if not len(ranked):
-            break
-        symbol = np.zeros(len(pairs), np.uint32)
-        symbol[ranked] = base + len(rules) + np.arange(len(ranked))
-        yes = symbol[number] > 0
-        at, made = at[yes], symbol[number[yes]]
+def _hashed(key: np.ndarray, turn: int, bits: int) -> np.ndarray:
+    """A table slot for each key; every turn parts the keys that another one puts together."""
+    if key.dtype == np.uint32:
+        return (key * np.uint32(0x9E3779B1 * (2 * turn + 1) & 0xFFFFFFFF)) >> np.uint32(32 - bits)
+    return (key * np.uint64(0x9E3779B97F4A7C15 * (2 * turn + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(64 - bits)
+
+
+def repair(seq: np.ndarray, last: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, rules (left, right) and whether each symbol ends a document; rule k is symbol ``top`` + k.
+
+    Each round replaces every pair counted ``MIN_COUNT`` times or more, and rounds go on until there is none. A pair
+    under that can't reach it later, so a round looks only at pairs with a symbol of the round before and at those
+    that shared a slot of the counting table with another pair.
+    """
+    seq, left, right, turn = seq.astype(np.uint32), [], [], 0
+    look = ~last[:-1]
+    while len(at := np.flatnonzero(look)):
+        wide = np.uint32 if top <= 1 << 16 else np.uint64
+        key = seq[at].astype(wide, copy=False) << wide(16 if wide is np.uint32 else 32) | seq[at + 1]
+        bits = min(20, max(8, len(at).bit_length() + 1))
+        slot = _hashed(key, turn, bits)
+        turn += 1
+        often = (np.bincount(slot, minlength=1 << bits) >= MIN_COUNT)[slot]
+        at, key, slot = at[often], key[often], slot[often]
+        owner = np.zeros(1 << bits, wide)
+        owner[slot] = key  # of the pairs in one slot one is counted, the others wait for the next turn
+        own = owner[slot] == key
+        look[:] = False
+        look[at[~own]] = True
+        at, slot = at[own], slot[own]
+        enough = (np.bincount(slot, minlength=1 << bits) >= MIN_COUNT)[slot]
+        at, slot = at[enough], slot[enough]
+        if not len(at):
+            continue
         # where chosen pairs overlap, every other one of the run is replaced, from its left end
         start = np.concatenate(([True], np.diff(at) > 1))
         run = np.maximum.accumulate(np.where(start, at, 0))
         take = (at - run) % 2 == 0
-        at, made = at[take], made[take]
-        rules.extend(zip((pairs[ranked] >> np.uint64(32)).tolist(), (pairs[ranked] & np.uint64(0xFFFFFFFF)).tolist(), strict=True))
-        seq[at] = made
+        at, slot = at[take], slot[take]
+        used = np.bincount(slot, minlength=1 << bits) > 0
+        pairs, first = owner[used], top
+        symbol = np.cumsum(used, dtype=np.int64) + (top - 1)
+        shift, mask = wide(16 if wide is np.uint32 else 32), wide(0xFFFF if wide is np.uint32 else 0xFFFFFFFF)
+        left.append((pairs >> shift).astype(np.uint32))
+        right.append((pairs & mask).astype(np.uint32))
+        top += len(pairs)
+        seq[at] = symbol[slot]
         last[at] = last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        before, seq, last = len(seq), seq[keep], last[keep]
-        if before - len(seq) < LEAST_GAIN * before or len(rules) >= most:
-            break
-    return seq, np.array(rules, np.uint32).reshape(-1, 2), last
+        look = np.append(look, False)[keep][:-1]
+        seq, last = seq[keep], last[keep]
+        made = seq >= first
+        look = (look | made[:-1] | made[1:]) & ~last[:-1]
+    rules = np.stack([np.concatenate(left), np.concatenate(right)], 1) if left else np.zeros((0, 2), np.uint32)
+    return seq, rules, last
 
 
 def pack_block(doc_ids: list[int | None], ids: list[bytes], base: int) -> bytes:
@@ -138,26 +187,30 @@ def pack_block(doc_ids: list[int | None], ids: list[bytes], base: int) -> bytes:
     flat = np.frombuffer(b"".join(ids), "<u4")
     last = np.zeros(len(flat), bool)
     last[np.cumsum(sizes, dtype=np.int64) - 1] = True
-    symbols, rules, last = repair(flat, last, base)
-    lengths = np.ones(base + len(rules), np.uint32)
-    for k, (a, b) in enumerate(rules.tolist()):  # a rule uses earlier symbols only
-        lengths[base + k] = lengths[a] + lengths[b]
+    met = np.zeros(base, bool)
+    met[flat] = True
+    alphabet = np.flatnonzero(met).astype("<u4")
+    symbols, rules, last = repair((np.cumsum(met) - 1)[flat], last, len(alphabet))
+    lengths = [1] * len(alphabet)
+    for a, b in rules.tolist():  # a rule uses earlier symbols only
+        lengths.append(lengths[a] + lengths[b])
     first = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1)).astype("<u4")
-    kind = "<u2" if base + len(rules) <= 65536 else "<u4"
+    kind = "<u2" if len(lengths) <= 1 << 16 else "<u4"
     order = np.array([NO_ID if d is None else d for d in doc_ids], "<i8")
-    return b"".join([MAGIC, struct.pack("<5I", len(ids), len(rules), base, len(symbols), int(kind[-1])), order.tobytes(), sizes.astype("<u4").tobytes(),
-                     first.tobytes(), rules[:, 0].astype("<u4").tobytes(), rules[:, 1].astype("<u4").tobytes(),
-                     lengths[base:].astype("<u4").tobytes(), symbols.astype(kind).tobytes()])
+    return b"".join([
+        MAGIC, struct.pack("<6I", len(ids), len(rules), base, len(alphabet), len(symbols), int(kind[-1])), order.tobytes(), sizes.astype("<u4").tobytes(),
+        first.tobytes(), alphabet.tobytes(), np.array(lengths[len(alphabet):], "<u4").tobytes(),
+        rules[:, 0].astype(kind).tobytes(), rules[:, 1].astype(kind).tobytes(), symbols.astype(kind).tobytes()])
 
 
 class Block:
-    """Random access to the documents of a payload."""
+    """Random access to the documents of a payload. Symbols from ``base`` on are rules, smaller ones ids."""
 
     def __init__(self, payload: bytes) -> None:
         if payload[:4] != MAGIC:
             raise ValueError("not a block of token ids")
-        n, r, self.base, s, width = struct.unpack_from("<5I", payload, 4)
-        at = 24
+        n, r, self.base, met, s, width = struct.unpack_from("<6I", payload, 4)
+        at = 28
 
         def part(kind: str, count: int) -> np.ndarray:
             nonlocal at
@@ -166,8 +219,9 @@ class Block:
             return out
 
         self.doc_ids, self.sizes, self.first = part("<i8", n), part("<u4", n), part("<u4", n)
-        self.left, self.right, self.lengths = part("<u4", r), part("<u4", r), part("<u4", r)
-        self.symbols = part(f"<u{width}", s)
+        named = np.concatenate((part("<u4", met), self.base + np.arange(r, dtype="<u4")))
+        self.lengths = part("<u4", r)
+        self.left, self.right, self.symbols = (named[part(f"<u{width}", count)] for count in (r, r, s))
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         out = symbols.astype(np.int64)
@@ -186,19 +240,28 @@ class Block:
         return self.expand(self.symbols[self.first[k]: end])
 
     def documents(self) -> Iterator[np.ndarray]:
-        return iter(np.split(self.expand(self.symbols), np.cumsum(self.sizes, dtype=np.int64)[:-1]))
+        """All documents: every rule is expanded once, and its ids are copied to where it is used."""
+        is_rule = self.symbols >= self.base
+        rule = self.symbols[is_rule].astype(np.int64) - self.base
+        spelled = np.concatenate((self.symbols[~is_rule], self.expand(self.base + np.arange(len(self.left)))))
+        begins = np.cumsum(self.lengths, dtype=np.int64) - self.lengths + int((~is_rule).sum())
+        size, source = np.ones(len(self.symbols), np.int64), np.empty(len(self.symbols), np.int64)
+        size[is_rule], source[is_rule], source[~is_rule] = self.lengths[rule], begins[rule], np.arange(int((~is_rule).sum()))
+        ends = np.cumsum(size)
+        ids = spelled[np.arange(int(ends[-1])) + np.repeat(source - ends + size, size)]
+        return iter(np.split(ids, np.cumsum(self.sizes, dtype=np.int64)[:-1]))
 
 
 def write(df: DataFrame, path: str, vocabulary_path: str, doc_id: str = "doc_id", text: str = "text") -> None:
     """Writes the ids of all texts, each with an end id, in ascending order of the (integer) document id.
 
-    Null ids come last; rows of one id are ordered by text. A null text is empty: its document holds the
+    Null ids come last; rows of one id are ordered by text and dealt out by its first ``PREFIX`` characters. A null text is empty: its document holds the
     end id alone. Other columns are ignored; no rows make no block.
     """
     docs = without(df, *[c for c in df.columns if c not in (doc_id, text)]).select(
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(int(NO_ID))).alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     spec = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    dealt = docs.repartitionByRange("doc").sortWithinPartitions("doc", "text")
+    dealt = docs.repartitionByRange("doc", F.substring("text", 1, PREFIX)).sortWithinPartitions("doc", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, docs_here, ids_here, size = TaskContext.get().partitionId(), 0, [], [], 0
@@ -212,7 +275,7 @@ def write(df: DataFrame, path: str, vocabulary_path: str, doc_id: str = "doc_id"
 
         end = struct.pack("<I", END_ID)
         for batch in batches:
-            for piece in pieces(batch, "text", 2 << 20):
+            for piece in pieces(batch, "text", 4 << 20):
                 for d, ids in zip(piece.column(0).to_pylist(), encoder.encode(texts(piece, "text")), strict=True):
                     docs_here.append(d)
                     ids_here.append(ids + end)
