@@ -20,10 +20,12 @@ payload), which gives atomic commits in any file system Spark writes to. The pay
 
 from __future__ import annotations
 
+import gc
 import os
 import struct
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ from pacewise.llm.common import pieces, texts, without
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
-MIN_COUNT = 5           # in 16-bit symbols a rule takes 8 bytes and each replacement saves 2
+MIN_COUNT = 10          # a rule takes 8 bytes and a replacement saves 2, but overlaps take some of what is counted
 NO_ID = np.iinfo(np.int64).max
 MAGIC = b"RPG2"
 _WORDS = 350_000
@@ -70,16 +72,14 @@ class LibraryEncoder:
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(self.base)])
 
     def _learn(self, new: list[str]) -> None:
-        """Keeps the ids of the pieces of new words, and of the words."""
+        """Keeps the ids of new words, and of the pieces of those that are cut; words of letters are one piece."""
         words, older = self.words, self.older
-        cut = [self.pretokens.findall(w) for w in new]
-        ask = []
-        for p in set().union(*cut):
-            if p not in words:
-                if p in older:
-                    words[p] = older[p]
-                else:
-                    ask.append(p)
+        whole = [w for w in new if w.isalpha()]
+        rest = [w for w in new if not w.isalpha()]
+        cut = list(map(self.pretokens.findall, rest))
+        met = set(chain.from_iterable(cut)).difference(whole).difference(words)
+        words.update({p: older[p] for p in met if p in older})
+        ask = whole + [p for p in met if p not in words]
         spelled = [p if p.isascii() else p.encode().decode("latin-1").translate(self.symbols) for p in ask]
         made = self.model.encode_batch_fast([" ".join(spelled[k: k + 500]) for k in range(0, len(ask), 500)], add_special_tokens=False)
         found = np.concatenate([np.array(m.ids, "<u4") for m in made]) if ask else np.zeros(0, "<u4")
@@ -87,19 +87,27 @@ class LibraryEncoder:
         if len(stop) != len(ask):
             raise ValueError("the vocabulary doesn't mark the end of every piece of a word")
         words.update(zip(ask, map(raw.__getitem__, map(slice, [0, *stop[:-1]], stop)), strict=True))
-        words.update((w, b"".join([words[p] for p in ps])) for w, ps in zip(new, cut, strict=True))
+        get = words.__getitem__
+        words.update({w: b"".join(map(get, ps)) for w, ps in zip(rest, cut, strict=True)})
 
     def encode(self, bodies: list[str]) -> list[bytes]:
+        gc.disable()  # hundreds of thousands of strings and no cycles
+        try:
+            return self._encode(bodies)
+        finally:
+            gc.enable()
+
+    def _encode(self, bodies: list[str]) -> list[bytes]:
         plain = ["<|" not in t and is_plain(t) for t in bodies]
         cut = pc.ascii_split_whitespace(pa.array([t.lower() for t, p in zip(bodies, plain, strict=True) if p], pa.large_string()))
         coded = cut.flatten().dictionary_encode()
         if len(self.words) > _WORDS:  # a word met again moves on from the older generation
             self.words, self.older = {}, self.words
-        names, words = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.words
+        names, words, older = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.words, self.older
         missing = [w for w in names if w not in words]
-        words.update((w, self.older[w]) for w in missing if w in self.older)
+        words.update({w: older[w] for w in missing if w in older})
         self._learn([w for w in missing if w not in words])
-        found = [words[w] for w in names]
+        found = list(map(words.__getitem__, names))
         at, ends = coded.indices.to_numpy().tolist(), iter(np.cumsum(pc.list_value_length(cut)).tolist())
         out, start = [], 0
         for t, p in zip(bodies, plain, strict=True):
