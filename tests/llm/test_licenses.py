@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from conftest import SF01
 from pacewise.llm import licenses, queries
 
@@ -14,18 +15,38 @@ def shingles(text):
     return [tuple(w[k: k + 5]) for k in range(len(w) - 4)]
 
 
-def brute(text):
-    s, out = shingles(text), {}
-    for name, bodies in licenses.TEMPLATES.items():
+def template_list(templates, needed):
+    """(license, shingles, groups of which a stretch must hold one each) of every template."""
+    out = []
+    for name, bodies in templates.items():
         for body in bodies:
-            t = shingles(body)
-            whole, reach = set(t), len(t) + max(2, len(t) // 4)
-            for k, x in enumerate(s):
-                if x in whole:
-                    c = len(whole & set(s[k: k + reach])) / len(whole)
-                    if c >= 0.8:
-                        out[name] = max(out.get(name, (0, 0)), (c, -k))
-    return sorted((name, -k, round(c, 9)) for name, (c, k) in out.items())
+            t, w = shingles(body), WORD.findall(body.lower())
+            groups = [{x} for x in shingles(needed.get(name))]
+            if len(t) <= licenses.SHORT:
+                groups = [set(t[max(0, k - 4): k + 1]) for k, x in enumerate(w) if re.fullmatch("v?[0-9]+", x)]
+            out.append((name, t, groups))
+    return out
+
+
+ALL = template_list(licenses.all_templates(), licenses.NEEDED)
+RIVALS = {(x, y) for x, s, _ in ALL for y, t, _ in ALL if x != y and len(set(s) & set(t)) >= licenses.RIVAL * len(set(s))}
+
+
+def brute(text, templates=None):
+    s, best = shingles(text), {}
+    for name, t, groups in ALL if templates is None else templates:
+        whole, reach = set(t), len(t) + max(2, len(t) // 4)
+        for k, x in enumerate(s):
+            if x in whole:
+                stretch = set(s[k: k + reach])
+                c = len(whole & stretch) / len(whole)
+                if c >= 0.8 and all(g & stretch for g in groups):
+                    size = min(reach + 4, len(s) + 4 - k)
+                    best[name] = max(best.get(name, (0,)), (c, -k, -size, len(whole & stretch), len(t)))
+    def beaten(x):
+        c, k, _, n, size = best[x]
+        return any((x, y) in RIVALS and -k < -k2 + size2 and -k2 < -k + size and (n2, c2) > (n, c) for y, (c2, k2, _, n2, size2) in best.items())
+    return sorted((name, -k, round(c, 9)) for name, (c, k, *_) in best.items() if not beaten(name))
 
 
 def found(rows):
@@ -35,9 +56,11 @@ def found(rows):
 def test_notices_inside_texts(spark):
     rnd, texts = random.Random(4), []
     noise = lambda: " ".join(rnd.choice(["the", "of", "Är", "x1", "License,", "under"]) for _ in range(rnd.randint(0, 40)))
-    for bodies in licenses.TEMPLATES.values():
+    for bodies in licenses.all_templates().values():
         for body in bodies:
             w = body.split()
+            if len(w) > 2 * licenses.SHORT:
+                continue  # whole texts: below
             texts += [f"{noise()} {body} {noise()}", body.upper(), f"{noise()}\n# {body.replace(' ', '  ')}\n",
                       " ".join(w[: len(w) // 2]), " ".join(x if k != len(w) // 2 else "zzz" for k, x in enumerate(w)),
                       f"{body} {noise()} {body}"]
@@ -81,3 +104,31 @@ def test_versions_families_and_whole_texts(spark):
     rows = licenses.scan(df).orderBy("id").collect()
     got = [{m["license"] for m in r["licenses"]} for r in rows]
     assert [(t[:60], g) for (t, _), g in zip(texts, got, strict=True)] == [(t[:60], want) for t, want in texts]
+
+
+def test_whole_texts_and_much_repeated_notices(spark):
+    known = {name: licenses.all_templates()[name] for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0")}
+    texts = [f"a b {known['MIT'][-1]} c d", known["BSD-3-Clause"][-1], known["BSD-2-Clause"][-1] + known["ISC"][-1],
+             " ".join(w for k, w in enumerate(known["Apache-2.0"][-1].split()) if k % 60), known["Apache-2.0"][-1][3000:]]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), templates=known).orderBy("id").collect()
+    listed = template_list(known, {})
+    assert [[x[0] for x in f] for f in found(rows)] == [[x[0] for x in brute(t, listed)] for t in texts]
+    assert found(rows)[:3] == [brute(t, listed) for t in texts[:3]]
+    many = "Licensed under CC BY 4.0. " * 40_000  # linear in the occurrences
+    df = spark.createDataFrame([(1, many), (2, many), (3, None)], "id int, text string")
+    assert found(licenses.scan(df).orderBy("id").collect()) == [[("CC-BY-4.0", 0, 1.0)]] * 2 + [[]]
+
+
+def test_a_list_of_200_000_shingles(spark):
+    rnd = random.Random(8)
+    known = {f"L{k}": [" ".join(f"w{rnd.randrange(5000)}" for _ in range(1004))] for k in range(200)}
+    texts = [f"before {known[f'L{k}'][0]} after" for k in range(0, 200, 9)] + [known["L3"][0][:2000]]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), templates=known).orderBy("id").collect()
+    assert found(rows) == [[(f"L{k}", 1, 1.0)] for k in range(0, 200, 9)] + [[]]
+
+
+def test_native_plan(spark):
+    plan = queries.op8_licenses(spark, SF01)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    with pytest.raises(ValueError):
+        licenses.scan(spark.createDataFrame([("x",)], "text string"), templates={"short": ["only four words here"]})
