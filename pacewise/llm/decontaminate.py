@@ -5,9 +5,10 @@ window of ten consecutive item words, and the whole item where it has fewer; it
 normalised text once. The end of a match is mapped back to word positions and, for callers that
 want the passage, to byte offsets in the original text.
 
-Rows are independent: a narrow Arrow map without shuffle. The items are broadcast, in parts of at
-most ``PART_BYTES``; a larger benchmark is scanned part by part and the hits of a document are merged
-in one aggregation, so neither the driver nor a task ever holds more than one part.
+Rows are independent: a narrow Arrow map without shuffle. The items are broadcast, in parts whose
+automaton has at most about ``PART_NODES`` nodes (a byte of an item is in ten windows at most, each a
+path of its own at worst); a larger benchmark is scanned part by part and the hits of a document are merged
+in one aggregation, so neither the driver nor a task ever holds more than one part. One item is not split.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pacewise.llm.common import appended, extend, pieces, texts, without
 from pacewise.session import checkpoint_root
 
 WINDOW = 10                 # words of a window
-PART_BYTES = 16 << 20       # item texts in one broadcast
+PART_NODES = 8 << 20        # automaton nodes in one task, about 40 bytes each: 320 MB at most, for 0.8 MB of item texts or more
 _WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
                     else 0x20 for b in range(256))
 
@@ -103,8 +104,10 @@ def contamination(df: DataFrame, items: DataFrame, text: str = "text", item_id:
     kept = without(df, "n_words", "n_hit", "item_ids", "hit_spans", "contaminated")
     items = items.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("null")).alias("item"),
                          F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("body"))
-    size = items.agg(F.sum(F.octet_length("body") + F.octet_length("item") + 64)).first()[0] or 0
-    parts = -(-int(size) // PART_BYTES) or 1
+    # bytes and separators once for each window they are in; at least an id's worth for an empty item
+    nodes = F.lit(WINDOW) * (F.octet_length("body") + 2) + F.octet_length("item") + 64
+    size = items.agg(F.sum(nodes.cast("long"))).first()[0] or 0
+    parts = -(-int(size) // PART_NODES) or 1
     if parts == 1:
         return _scan(kept, [tuple(r) for r in items.collect()], text)
     # a larger benchmark: scan for one part of the items at a time, then merge a document's hits

@@ -64,7 +64,7 @@ def test_brute_force(spark):
 
 
 def test_benchmark_larger_than_a_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "PART_BYTES", 300)
+    monkeypatch.setattr(decontaminate, "PART_NODES", 3000)
     compare(spark, *sample())
 
 
@@ -88,3 +88,10 @@ def test_query(spark):
         assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (n, hit, len(ids), hit > 0)
         assert r["items_sha256"] == hashlib.sha256(",".join(ids).encode()).hexdigest()
     assert suspects
+
+
+def test_nodes_stay_under_the_bound():
+    rnd = random.Random(2)
+    for text in ("", "a", "ab cd", " ".join(f"w{rnd.randrange(10**6)}" for _ in range(400)), "é " * 50, "x" * 500):
+        nodes = decontaminate.Scanner([("i", text)]).automaton.get_stats()["nodes_count"] if text else 0
+        assert nodes <= decontaminate.WINDOW * (len(text.encode()) + 2) + 64
