@@ -4,6 +4,8 @@ application and input folder, then reused by the queries that read it."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,20 +206,31 @@ def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark)
 
 
+def small_pieces(large: Counter) -> tuple[int, int]:
+    """Pieces of a day's small half, and tasks to write them: eight pieces for each of its large files (days -> files),
+    so that a piece is about an eighth of one, and no task writes much more than two large files hold."""
+    pieces = 8 * max(large.values())
+    return pieces, max(16, pieces, sum(large.values()) // 2)
+
+
 def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze landed as many small files beside one large file a day, packed to files of a target size (K6).
 
     A file's size is known only when it is written, so the target is taken from the files themselves:
-    small ones are those below half of the mean of the days' large files.
+    small ones are those below half of the mean of the large half's files. That half is more than one file a day
+    where a day is large, so the small files are as many more; a file of it that is small itself (of a day with
+    few rows) is packed like all small ones.
     """
     table = Lake(spark, fresh_dir(spark, "compaction"))["bronze"]
     rows = table.with_layout(given.bronze(spark, sf_dir), stream_tag="seed", batch_id=0).withColumn("kind", F.pmod(F.xxhash64("request_id"), F.lit(2)))
     large, small = rows.where("kind = 0").drop("kind"), rows.where("kind = 1").drop("kind")
     table.write(large)
-    large_bytes = int(layout.file_stats(spark, table).agg(F.avg("file_size")).first()[0])
-    before = {r["file_path"] for r in layout.file_stats(spark, table).select("file_path").collect()}
-    keys = ["ingest_date", F.pmod(F.xxhash64("user_id"), F.lit(8))]
-    small.repartition(16, *keys).write.mode("append").options(**table.file_options).partitionBy(*table.partition_by).parquet(table.path)
+    files = layout.file_stats(spark, table).select("ingest_date", "file_path", "file_size").collect()
+    large_bytes = sum(r["file_size"] for r in files) // len(files)
+    before = {r["file_path"] for r in files if r["file_size"] >= large_bytes // 2}
+    pieces, tasks = small_pieces(Counter(r["ingest_date"] for r in files))
+    keys = ["ingest_date", F.pmod(F.xxhash64("user_id"), F.lit(pieces))]
+    small.repartition(tasks, *keys).write.mode("append").options(**table.file_options).partitionBy(*table.partition_by).parquet(table.path)
     spark.catalog.refreshByPath(table.path)
     first = compact(spark, table, MIN_INPUT_FILES, sort=True, small_bytes=large_bytes // 2, target_bytes=large_bytes)
     second = compact(spark, table, MIN_INPUT_FILES, sort=True, small_bytes=large_bytes // 2, target_bytes=large_bytes)
