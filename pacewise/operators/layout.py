@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pacewise.constants import AMPLIFY, BAD_LAYOUT_FILES, MIN_INPUT_FILES
 from pacewise.functions import user_bucket, utc_day
-from pacewise.operators.analyst import amplify
+from pacewise.operators.analyst import amplify_blocks, with_copies
 from pacewise.sources import fs
 from pacewise.sources.tables import Table, flat_table, silver_table
 
@@ -152,21 +152,22 @@ class LayoutStudy:
 
 def build_layout_study(spark: SparkSession, silver: DataFrame, root: str,
                        copies: int = AMPLIFY, bad_files: int = BAD_LAYOUT_FILES) -> LayoutStudy:
-    """Amplify silver once into a shared source table, then write it twice: unpartitioned in
+    """Store silver once as a shared source table, then write it amplified twice: unpartitioned in
     ``bad_files`` files, and partitioned by day and user bucket, sort-clustered by campaign and
     time and sort-compacted. Both layouts are written from the same source, so they hold the
-    same rows (checked)."""
+    same rows (checked). The writing tasks make the copies: shuffles and sorts carry one row of an event,
+    and a copy has its event's day, user, campaign and time, so it belongs where the event does."""
     from pacewise.operators.maintenance import compact  # local: maintenance imports this module
 
     source = flat_table(f"{root}/source", name="source")
-    amplify(silver, copies).write.mode("overwrite").parquet(source.path)
+    silver.select(*[f.name for f in source.contract.fields]).write.mode("overwrite").parquet(source.path)
     bad = flat_table(f"{root}/events_bad", name="events_bad")
     optimized = silver_table(f"{root}/events_optimized", name="events_optimized")
     src = source.read(spark)
-    bad.write_unpartitioned_files(src, bad_files)
-    optimized.write(src)
+    bad.write_unpartitioned_files(src, bad_files, copied=lambda rows: amplify_blocks(rows, copies))
+    optimized.write(src, copied=lambda rows: with_copies(rows, copies))
     compact(spark, optimized, min_input_files=MIN_INPUT_FILES, sort=True)
-    n_bad, n_opt = bad.read(spark).count(), optimized.read(spark).count()
-    if n_bad != n_opt:
-        raise AssertionError(f"layouts differ: bad={n_bad} optimized={n_opt}")
+    want, n_bad, n_opt = copies * src.count(), bad.read(spark).count(), optimized.read(spark).count()
+    if n_bad != want or n_opt != want:
+        raise AssertionError(f"layouts differ: bad={n_bad} optimized={n_opt}, {want} rows to write")
     return LayoutStudy(source, bad, optimized)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -40,6 +41,21 @@ Derivation = Callable[[], Column]
 USER_KEYS = ("user_id",)
 
 
+OPEN_FILES = 512  # files that a task of a write with ``copied`` keeps open; beyond, Spark sorts the rest by partition
+
+
+@contextmanager
+def open_at_once(spark: SparkSession, files: int) -> Iterator[None]:
+    """Lets each writing task keep so many partitions' files open (0: as the session says)."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(files) if files else before)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class Table:
     """A Parquet table at ``path`` with a fixed contract and an explicit partition layout."""
@@ -100,13 +116,17 @@ class Table:
         return options | {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.lookup_by}
 
     def write(self, df: DataFrame, mode: str = "overwrite", dynamic: bool = False,
-              check: bool = True, **values) -> int:
+              check: bool = True, copied: Callable[[DataFrame], DataFrame] | None = None, **values) -> int:
         """Write ``df`` (contract columns, or contract + layout columns) to the table; the rows written.
 
         Rows are rebalanced on the partition columns before the write: AQE splits a hot
         partition value over several tasks and merges small ones, so each task writes few,
         well-sized files even when one key holds a large share of the rows. The rows are counted by the
         writing tasks themselves (an observation behind the last shuffle, so a lost map task counts once).
+
+        ``copied`` makes several rows of one in the writing tasks, in place and in the same partition: the
+        shuffle and the sort carry one. Their order is then nothing that Spark knows of, so each task keeps
+        its partitions' files open at once instead of sorting all copies by partition.
         """
         present = set(df.columns)
         if missing := [c.name for c in self.contract.fields if c.name not in present]:
@@ -121,19 +141,24 @@ class Table:
         out = out.hint("rebalance", *self.partition_by) if self.partition_by else out.hint("rebalance")
         if self.partition_by or self.cluster_by:
             out = out.sortWithinPartitions(*self.partition_by, *self.cluster_by)
+        if copied:
+            out = copied(out)
         seen = Observation()
         writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**self.file_options)
         if dynamic:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path)
+        with open_at_once(df.sparkSession, OPEN_FILES if copied else 0):
+            writer.parquet(self.path)
         return int(seen.get["rows"])
 
-    def write_unpartitioned_files(self, df: DataFrame, files: int = BAD_LAYOUT_FILES) -> None:
-        """Forced file count, no partitioning (A16): the deliberately bad layout."""
-        df.select(*[c.name for c in self.contract.fields]).repartition(files) \
-            .write.mode("overwrite").parquet(self.path)
+    def write_unpartitioned_files(self, df: DataFrame, files: int = BAD_LAYOUT_FILES,
+                                  copied: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+        """Forced file count, no partitioning (A16): the deliberately bad layout. Rows go to files by hash of
+        all their columns; ``copied`` makes several rows of one in the writing tasks."""
+        columns = [c.name for c in self.contract.fields]
+        copied(df.select(*columns).repartition(files, F.xxhash64(*columns))).write.mode("overwrite").parquet(self.path)
 
 
 def _fields(schema: StructType) -> tuple[str, ...]:
