@@ -17,13 +17,15 @@ DEDUP_ORDER = ("ingest_ts", "kafka_ts", "event_ts", "request_id")
 def deduplicated(bronze: DataFrame) -> DataFrame:
     """Bronze rows with one row per event_id, provenance kept.
 
-    Rows with a NULL event_id are dropped, never deduped into one. The ``row_number() = 1``
-    filter lets Spark plan a partial window-group-limit before the shuffle on ``event_id``,
-    so a key with many copies is cut down map-side instead of landing whole in one task.
+    Rows with a NULL event_id are dropped, never deduped into one. Rows are shuffled on ``event_id``
+    before they are sorted: with the window alone Spark sorts them in the reading tasks as well (to cut
+    copies down there), which spills them where a task reads many. The copies of one event, a handful as
+    a rule, meet in one task; the ``row_number() = 1`` filter lets it keep one of them while it reads.
     """
     w = Window.partitionBy("event_id").orderBy(*[F.col(c).asc() for c in DEDUP_ORDER])
     return (
         bronze.where(F.col("event_id").isNotNull())
+        .repartition("event_id")
         .withColumn("rn", F.row_number().over(w))
         .where(F.col("rn") == 1)
         .drop("rn")
