@@ -167,14 +167,23 @@ def scan_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- streaming (L1) --------------------------------------------------------------------------------
+BATCHES = 4  # micro-batches that a landed fixture is read in
+
+
+def landed(spark: SparkSession, sf_dir: str, lake: Lake, batches: int | None = BATCHES, kind: str = "json", **land) -> DataFrame:
+    """The fixture landed as envelopes in the lake, as a stream of so many micro-batches (without a number: of one)."""
+    landing, rows = lake.folder("landing", "ad_events"), given.bronze(spark, sf_dir)
+    files = stream.landing_files(rows, BATCHES)
+    stream.land_envelopes(rows, landing, files=files, kind=kind, **land)
+    return stream.file_source(spark, landing, max_files_per_trigger=files // batches if batches else None, kind=kind)
+
+
 def stream_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Land the fixture as JSON envelopes (4 files) and ingest them with an available-now
-    stream, one file per micro-batch, into a fresh lake's bronze."""
+    """Land the fixture as JSON envelopes and ingest them with an available-now stream, in
+    four micro-batches, into a fresh lake's bronze."""
     def make() -> Lake:
         lake = Lake(spark, fresh_dir(spark, "lake-stream"))
-        landing = lake.folder("landing", "ad_events")
-        stream.land_envelopes(given.bronze(spark, sf_dir), landing)
-        raw = stream.file_source(spark, landing, max_files_per_trigger=1)
+        raw = landed(spark, sf_dir, lake)
         q = stream.start(spark, raw, lake["bronze"], lake.folder("_checkpoints", "bronze"), "ingest",
                          available_now=True)
         q.awaitTermination()
@@ -254,9 +263,7 @@ def incremental_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """The landed fixture, ingested in four batches; each is merged into silver as it comes."""
     def make() -> Lake:
         lake = Lake(spark, fresh_dir(spark, "lake-incremental"))
-        landing = lake.folder("landing", "ad_events")
-        stream.land_envelopes(given.bronze(spark, sf_dir), landing)
-        raw = stream.file_source(spark, landing, max_files_per_trigger=1)
+        raw = landed(spark, sf_dir, lake)
         ingest.ingest(spark, lake, raw, available_now=True, silver=True, log=lambda line: None)
         return lake
     return _memo(spark, sf_dir, "incremental", make)
@@ -271,9 +278,8 @@ def stream_broken_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze from a stream in which the records without an event id are cut off (I5): such a record is an
     all-NULL row that keeps its broker time; without ``ingest_ts``."""
     lake = Lake(spark, fresh_dir(spark, "lake-broken"))
-    landing = lake.folder("landing", "ad_events")
-    stream.land_envelopes(given.bronze(spark, sf_dir), landing, broken=F.col("event_id").isNull())
-    ingest.ingest(spark, lake, stream.file_source(spark, landing), available_now=True, log=lambda line: None)
+    raw = landed(spark, sf_dir, lake, batches=None, broken=F.col("event_id").isNull())
+    ingest.ingest(spark, lake, raw, available_now=True, log=lambda line: None)
     return lake.read("bronze").select(*[f.name for f in BRONZE_SCHEMA.fields if f.name != "ingest_ts"])
 
 
@@ -295,10 +301,8 @@ def stream_binary_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze from records whose key and value are bytes, as Kafka's are (H2), folded every second batch (A2); instead
     of ``ingest_ts``, whether it is the time of this run (H3)."""
     lake = Lake(spark, fresh_dir(spark, "lake-binary"))
-    landing = lake.folder("landing", "ad_events")
-    stream.land_envelopes(given.bronze(spark, sf_dir), landing, kind="parquet")
+    raw = landed(spark, sf_dir, lake, kind="parquet")
     begun = spark.sql("SELECT current_timestamp()").first()[0]
-    raw = stream.file_source(spark, landing, max_files_per_trigger=1, kind="parquet")
     ingest.ingest(spark, lake, raw, available_now=True, fold_every=2, log=lambda line: None)
     now = F.current_timestamp().cast("timestamp_ntz")
     in_time = F.col("ingest_ts").between(F.lit(begun).cast("timestamp_ntz"), now)

@@ -130,14 +130,25 @@ def start(spark: SparkSession, raw: DataFrame, bronze: Table, checkpoint: str, t
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+LANDED_ROWS = 250_000  # rows of a landed file, about: some tens of MB as plain JSON
+
+
+def landing_files(events: DataFrame, batches: int = 4) -> int:
+    """Files of about ``LANDED_ROWS`` rows at most, as many in each of ``batches`` micro-batches."""
+    return batches * max(1, -(-events.count() // (batches * LANDED_ROWS)))
+
+
 def land_envelopes(events: DataFrame, landing_dir: str, files: int | None = 4, broken: Column | None = None,
                    kind: str = "json") -> None:
     """Write bronze-shaped rows as JSON envelopes (the file stand-in for the topic), with
     UTC ISO-8601 timestamps at microsecond precision, as a producer would send them.
 
     The payload of a ``broken`` row ends too early, as of a record cut off. Without ``files`` the input's
-    own partitions are the files.
+    own partitions are the files; else rows go to files by hash of all their columns, before the payload is
+    made: a shuffle of the columns alone, that sorts nothing. JSON files are compressed.
     """
+    if files:
+        events = events.repartition(files, F.xxhash64(*events.columns))
     fields = [F.col(c).cast("timestamp").alias(c) if c == "event_ts" else F.col(c) for c in EVENT_COLUMNS]
     payload = F.to_json(F.struct(*fields), {"timestampFormat": ISO_UTC})
     if broken is not None:
@@ -145,4 +156,5 @@ def land_envelopes(events: DataFrame, landing_dir: str, files: int | None = 4, b
     rows = events.select(F.col("user_id").alias("key"), payload.alias("value"), F.col("kafka_ts").cast("timestamp").alias("timestamp"))
     if kind != "json":
         rows = rows.withColumns({c: F.col(c).cast("binary") for c in ("key", "value")})
-    ((rows.repartition(files) if files else rows).write.mode("overwrite").option("timestampFormat", ISO_UTC).format(kind).save(landing_dir))
+    writer = rows.write.mode("overwrite").format(kind)
+    (writer.option("timestampFormat", ISO_UTC).option("compression", "gzip") if kind == "json" else writer).save(landing_dir)
