@@ -26,6 +26,7 @@ MIN_WORDS = 50
 MAX_REPEATED = 50       # percent of the words in three-word windows found twice or more
 BITS = 16               # hash table of each of the four kinds of feature
 KINDS = 4
+FIT_ROWS = 64           # rows of a block in the fit
 EPOCHS, RATE, DECAY = 80, 0.5, 1e-4
 
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -89,28 +90,38 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model | None:
     held = [r for k, r in enumerate(rows) if k % HELD_OUT == 0]
     if len({r[2] for r in train}) < 2:
         return None
-    at, value, row, label = _flat(train)
+    label = np.array([r[2] for r in train], np.float64)
     share = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))  # both classes weigh the same
     w, b = np.zeros(KINDS << BITS), 0.0
     sum_w, sum_b = np.full(len(w), 1e-8), 1e-8
     for _ in range(EPOCHS):  # full-batch Adagrad: the same rows give the same model
-        z = np.bincount(row, value * w[at], len(train)) + b
+        z = _logits(train, w) + b
         g = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / len(train)
-        gw, gb = np.bincount(at, value * g[row], len(w)) + DECAY * w / len(train), g.sum()
+        gw = np.zeros(len(w))
+        for start, at, value, row in _blocks(train):
+            np.add.at(gw, at, value * g[start:][row])  # one by one in the rows' order, whatever the blocks
+        gw, gb = gw + DECAY * w / len(train), g.sum()
         sum_w += gw**2
         sum_b += gb**2
         w -= RATE * gw / np.sqrt(sum_w)
         b -= RATE * gb / np.sqrt(sum_b)
     model = Model(w.astype(np.float32).reshape(KINDS, 1 << BITS), float(b))
     if len({r[2] for r in held}) == 2:
-        at, value, row, label = _flat(held)
-        model.slope, model.shift = _platt(np.bincount(row, value * w[at], len(held)) + b, label)
+        model.slope, model.shift = _platt(_logits(held, w) + b, np.array([r[2] for r in held], np.float64))
     return model
 
 
-def _flat(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, ...]:
-    return (np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]).astype(np.float64),
-            np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows]), np.array([r[2] for r in rows], np.float64))
+def _blocks(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, feature indices, values and row numbers of ``FIT_ROWS`` rows after the other: the sample is held
+    once, as it came, and what a pass makes of it is never larger than a block."""
+    for start in range(0, len(rows), FIT_ROWS):
+        block = rows[start: start + FIT_ROWS]
+        yield (start, np.concatenate([r[0] for r in block]), np.concatenate([r[1] for r in block]).astype(np.float64),
+               np.repeat(np.arange(len(block)), [len(r[0]) for r in block]))
+
+
+def _logits(rows: list[tuple[np.ndarray, np.ndarray, int]], w: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.bincount(row, value * w[at], min(FIT_ROWS, len(rows) - start)) for start, at, value, row in _blocks(rows)])
 
 
 def _platt(z: np.ndarray, label: np.ndarray) -> tuple[float, float]:
